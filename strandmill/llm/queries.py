@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandmill.llm import chat, exact_dedup, mixing
+from strandmill.llm import bpe, chat, exact_dedup, licenses, mixing, quality, token_counts
 
+VOCABULARY = "byte_bpe_50k.json"
 OWN_CHAT = "</s>[INST] ok [/INST]"
 
 
@@ -16,6 +17,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def vocabulary_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(VOCABULARY)
+
+
+def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(table(spark, sf_dir, "documents"))
+
+
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(table(spark, sf_dir, "documents"), vocabulary_path())
+
+
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), vocabulary_path())
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix_sources(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -73,7 +96,15 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM d
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_mixing": op2_mixing, "op7_chat": op7_chat, "op8_exact_dedup": op8_exact_dedup}
+    return {
+        "op1_licenses": op1_licenses,
+        "op2_mixing": op2_mixing,
+        "op3_quality": op3_quality,
+        "op4_bpe": op4_bpe,
+        "op5_token_counts": op5_token_counts,
+        "op7_chat": op7_chat,
+        "op8_exact_dedup": op8_exact_dedup,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
