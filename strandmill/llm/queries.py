@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandmill.llm import bpe, chat, exact_dedup, licenses, mixing, quality, token_counts
+from strandmill.llm import bpe, chat, exact_dedup, licenses, mixing, quality, simhash, token_counts
 
 VOCABULARY = "byte_bpe_50k.json"
 OWN_CHAT = "</s>[INST] ok [/INST]"
@@ -95,6 +95,10 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM d
 """
 
 
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_dedup(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_licenses": op1_licenses,
@@ -104,6 +108,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_token_counts": op5_token_counts,
         "op7_chat": op7_chat,
         "op8_exact_dedup": op8_exact_dedup,
+        "op9_simhash": op9_simhash,
     }
 
 
