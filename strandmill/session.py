@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -43,3 +44,11 @@ def settle(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared folder: later steps reread it, and a lost executor loses nothing."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spill(df: DataFrame) -> DataFrame:
+    """Like :func:`settle`, but as a compressed Parquet table in the shared folder: for large intermediate tables."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/strandmill-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
