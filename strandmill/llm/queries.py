@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandmill.llm import bpe, chat, exact_dedup, licenses, mixing, quality, simhash, token_counts
+from strandmill.llm import bpe, chat, exact_dedup, licenses, mixing, quality, simhash, suffix_dedup, token_counts
 
 VOCABULARY = "byte_bpe_50k.json"
 OWN_CHAT = "</s>[INST] ok [/INST]"
@@ -99,6 +99,11 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_dedup(table(spark, sf_dir, "documents"))
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_licenses": op1_licenses,
@@ -109,6 +114,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_chat": op7_chat,
         "op8_exact_dedup": op8_exact_dedup,
         "op9_simhash": op9_simhash,
+        "op10_suffix_dedup": op10_suffix_dedup,
     }
 
 
