@@ -12,8 +12,8 @@ ties), and equal windows have equal anchors at equal places. Consecutive windows
    common prefixes are the suffix array and its LCP table, a part of it per hash.
 4. Extents: neighbours with a common prefix R and a common left context of L bytes share the windows that begin 200 - R to L
    bytes before the anchor. A run that occurs twice shares all of its windows.
-5. Anchors with more than ``CROWD`` different runs (a passage in very many documents, each with another
-   surrounding) are no fit for one task; their windows are counted by hash instead, combined map-side.
+5. Anchors with more than ``CROWD`` different runs (a passage in very many documents, each with another surrounding)
+   would hold more than about 25 MB in one task; their windows are counted by hash instead, combined map-side.
 6. Runs take their extents back to all documents, where bytes are removed.
 
 Defined results: a null text is empty; repeated rows are documents of their own (and so repeat each other); null or
@@ -22,6 +22,7 @@ repeated ids are replaced by row numbers inside; other columns are ignored; an e
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 from collections.abc import Iterator
 
@@ -36,7 +37,7 @@ from strandmill.session import settle, ship_package, spill
 
 LENGTH = 200
 K = 48
-CROWD = 128
+CROWD = 1 << 16
 #: Longer texts are scanned in pieces; neighbouring pieces share LENGTH - 1 bytes.
 PIECE = 1 << 22
 #: Suffixes for one merge, about; suffixes that a task sorts at once.
@@ -137,32 +138,59 @@ def _sorted_runs(length: int, parts: int):
 
 
 def extents(group: list[tuple[int, bytes, tuple]], length: int) -> Iterator[tuple[int, int, list[int]]]:
-    """(h, c, [low, high, ...]) for suffixes with one anchor, in order: the bytes before the anchor at which repeated windows begin."""
-    for i, (_, _, (left, h, c, least, n)) in enumerate(group):
-        most = len(left)
+    """(h, c, [low, high, ...]) for suffixes with one anchor, in order: the bytes before the anchor at which repeated windows begin.
+
+    Neighbours in suffix order are united from the longest common prefix down. In a united set all share a prefix of R bytes, and
+    of all others a suffix shares the longest left context L with a neighbour in the order of left contexts; the
+    smaller set is put into the larger one's order, and only who gets a new neighbour has anything new to tell. So a group of
+    m suffixes takes m log m insertions, not m * m comparisons.
+    """
+    least = [row[2][3] for row in group]
+    lefts = [row[2][0] for row in group]
+    found: list[list[tuple[int, int]]] = [[] for _ in group]
+
+    def tell(i: int, right: int, left: int) -> None:
+        low, high = max(least[i], length - right), min(len(lefts[i]), left)
+        if low <= high:
+            found[i].append((low, high))
+
+    members = {i: [(lefts[i], i)] for i in range(len(group))}
+    up = list(range(len(group)))
+
+    def root(i: int) -> int:
+        while up[i] != i:
+            up[i] = i = up[up[i]]
+        return i
+
+    for at in sorted(range(1, len(group)), key=lambda i: -group[i][0]):
+        right = group[at][0]
+        small, large = root(at - 1), root(at)
+        if len(members[small]) > len(members[large]):
+            small, large = large, small
+        order = members[large]
+        for entry in members.pop(small):
+            place = bisect.bisect_left(order, entry)
+            left_before = common(order[place - 1][0], entry[0]) if place else -1
+            left_after = common(order[place][0], entry[0]) if place < len(order) else -1
+            tell(entry[1], right, max(left_before, left_after))
+            if place:
+                tell(order[place - 1][1], right, left_before)
+            if place < len(order):
+                tell(order[place][1], right, left_after)
+            order.insert(place, entry)
+        up[small] = large
+
+    for (_, _, (left, h, c, low, n)), spans in zip(group, found, strict=True):
         if n > 1:
-            yield h, c, [least, most]
-            continue
-        found = []
-        for side in (range(i + 1, len(group)), range(i - 1, -1, -1)):
-            right = 1 << 30
-            for j in side:
-                right = min(right, group[j if j > i else j + 1][0])
-                if length - right > most:
-                    break
-                low, high = max(least, length - right), min(most, common(left, group[j][2][0]))
-                if low <= high:
-                    found.append((low, high))
-                    if (low, high) == (least, most):
-                        break
-        if found:
-            found.sort()
-            flat = list(found[0])
-            for low, high in found[1:]:
-                if low > flat[-1] + 1:
-                    flat += [low, high]
+            yield h, c, [low, len(left)]
+        elif spans:
+            spans.sort()
+            flat = list(spans[0])
+            for a, b in spans[1:]:
+                if a > flat[-1] + 1:
+                    flat += [a, b]
                 else:
-                    flat[-1] = max(flat[-1], high)
+                    flat[-1] = max(flat[-1], b)
             yield h, c, flat
 
 
