@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from strandmill.functions.sequences import kmers
 from strandmill.kernels import alignment
-from strandmill.session import ship_package
+from strandmill.session import object_frame, ship_package
 
 
 def kmer_table(sequences: DataFrame, k: int, step: int = 1) -> DataFrame:
@@ -65,7 +65,7 @@ def align_pairs(pairs: DataFrame, mode: str = "exact") -> DataFrame:
             for q, t, a, b in zip(frame["q_id"], frame["t_id"], frame["q_seq"], frame["t_seq"], strict=True):
                 if (found := kernel(a, b)) is not None:
                     rows.append((q, t, *found))
-            yield pd.DataFrame(rows, columns=["q_id", "t_id", "s1", "e1", "s2", "e2", "size", "score"])
+            yield object_frame(rows, ["q_id", "t_id", "s1", "e1", "s2", "e2", "size", "score"])
 
     return pairs.select("q_id", "t_id", "q_seq", "t_seq").mapInPandas(run, "q_id string, t_id string, s1 int, e1 int, s2 int, e2 int, size int, score int")
 
@@ -83,6 +83,6 @@ def contig_identities(pairs: DataFrame) -> DataFrame:
                 except alignment.TooLong:
                     found = (-1.0, -1.0)
                 rows.append((base, other, *found))
-            yield pd.DataFrame(rows, columns=["base_id", "other_id", "identity", "coverage"])
+            yield object_frame(rows, ["base_id", "other_id", "identity", "coverage"])
 
     return pairs.select("base_id", "other_id", "base_seq", "other_seq").mapInPandas(run, "base_id string, other_id string, identity double, coverage double")

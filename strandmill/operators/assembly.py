@@ -17,7 +17,7 @@ from strandmill.functions.sequences import alternative_name, contig_name, node_r
 from strandmill.kernels import unitigs as U
 from strandmill.operators.align import contig_identities
 from strandmill.operators.components import connected_components
-from strandmill.session import settle, ship_package
+from strandmill.session import object_frame, settle, ship_package
 
 UNITIG_ROWS = "s string, v string, t string, type string, length long, score long, path array<string>"
 
@@ -36,7 +36,7 @@ def _graph(frame: pd.DataFrame) -> tuple[U.UnitigGraph, list[U.Edge]]:
 
 def _rows(graph: U.UnitigGraph) -> pd.DataFrame:
     rows = [(s, v, t, u.type, u.length, u.score, list(u.path)) for (s, t, v), u in sorted(graph.data.items())]
-    return pd.DataFrame(rows, columns=["s", "v", "t", "type", "length", "score", "path"])
+    return object_frame(rows, ["s", "v", "t", "type", "length", "score", "path"])
 
 
 def simplify_unitigs(unitigs: DataFrame, spur_length: int = 50_000, late_spur_length: int = 80_000) -> DataFrame:
@@ -73,7 +73,7 @@ def bubbles(unitigs: DataFrame) -> DataFrame:
             (s, v, t, len(b.edges) / b.depth, b.length, b.score, [f"{a}~{x}~{z}" for a, z, x in sorted(b.edges)])
             for (s, t, v), b in sorted(U.compound_paths(graph).items())
         ]
-        return pd.DataFrame(rows, columns=["s", "v", "t", "width", "length", "score", "edges"])
+        return object_frame(rows, ["s", "v", "t", "width", "length", "score", "edges"])
 
     schema = "s string, v string, t string, width double, length long, score long, edges array<string>"
     return with_components(unitigs).groupBy("component").applyInPandas(run, schema)
@@ -110,7 +110,7 @@ def contig_paths(unitigs: DataFrame, best_in: DataFrame | None = None) -> DataFr
         for s, t, v in sorted(circles):
             u = graph.data[(s, t, v)]
             out.append((-1, f"{s}~{t}~{v}", "C", "ctg_circular", f"{s}~{v}~{t}", t, u.length, u.score, f"{s}~{v}~{t}"))
-        return pd.DataFrame(out, columns=["rank", "key", "strand", "type", "start_edge", "end_node", "length", "score", "utgs"])
+        return object_frame(out, ["rank", "key", "strand", "type", "start_edge", "end_node", "length", "score", "utgs"])
 
     schema = "rank long, key string, strand string, type string, start_edge string, end_node string, length long, score long, utgs string"
     found = rows.groupBy("component").applyInPandas(run, schema)
@@ -155,7 +155,7 @@ def tilings(contigs: DataFrame, unitigs: DataFrame, edges: DataFrame) -> DataFra
                 s, _, t = utg.split("~")
                 found = U.disjoint_paths({(e["v"], e["w"]): int(e["e_score"]) for e in listed}, s, t)
                 out += [(ctg, nth, i, nodes) for i, (_, nodes) in enumerate(found)]
-            yield pd.DataFrame(out, columns=["ctg_id", "nth", "path", "nodes"])
+            yield object_frame(out, ["ctg_id", "nth", "path", "nodes"])
 
     alternatives = grouped.mapInPandas(run, "ctg_id string, nth int, path int, nodes array<string>")
     numbered = alternatives.withColumn("bubble", F.dense_rank().over(W.partitionBy("ctg_id").orderBy("nth")))

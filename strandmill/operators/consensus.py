@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from strandmill.functions.sequences import clean_regions, floor_div
 from strandmill.kernels.consensus import ConsensusConfig, consensus_at_offsets, pile_consensus
-from strandmill.session import ship_package
+from strandmill.session import object_frame, ship_package
 
 # Reads longer than this are cut, to one base less; shortest consensus; most regions of one seed.
 MAX_READ = 100_000
@@ -72,7 +72,7 @@ def pile_consensuses(accepted: DataFrame, config: ConsensusConfig = ConsensusCon
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             made = [pile_consensus([seed, *reads], config, trim) for seed, reads in zip(frame["seed"], frame["reads"], strict=True)]
-            yield frame[["stream", "pile", "seed_id"]].assign(consensus=made)
+            yield object_frame(zip(frame["stream"], frame["pile"], frame["seed_id"], made, strict=True), ["stream", "pile", "seed_id", "consensus"])
 
     found = accepted.select("stream", "pile", "seed_id", "seed", "reads").mapInPandas(run, "stream string, pile long, seed_id string, consensus string")
     return found.filter(F.length("consensus") >= MIN_CONSENSUS)
@@ -104,6 +104,6 @@ def offset_consensuses(layouts: DataFrame, min_identity: float = 0.7) -> DataFra
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             made = [consensus_at_offsets(list(r), [int(x) for x in o], min_identity)[0] for r, o in zip(frame["reads"], frame["offsets"], strict=True)]
-            yield frame[["id"]].assign(consensus=made)
+            yield object_frame(zip(frame["id"], made, strict=True), ["id", "consensus"])
 
     return layouts.select("id", "reads", "offsets").mapInPandas(run, "id string, consensus string")

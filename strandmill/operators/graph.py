@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from strandmill.functions.sequences import flip_end, reverse_path
 from strandmill.operators.overlaps import first_per_pair
-from strandmill.session import settle, ship_package
+from strandmill.session import object_frame, settle, ship_package
 
 # Fixed value: overhangs closer than this count as equal in transitive reduction.
 FUZZ = 500
@@ -119,7 +119,7 @@ def transitive_edges(edges: DataFrame, fuzz: int = FUZZ) -> DataFrame:
                 found = _reduce_node([(e["w"], e["length"]) for e in own], second, fuzz)
                 v_list += [v] * len(found)
                 w_list += found
-            yield pd.DataFrame({"v": v_list, "w": w_list})
+            yield object_frame(zip(v_list, w_list, strict=True), ["v", "w"])
 
     return with_duals(nodes.mapInPandas(run, "v string, w string"))
 
@@ -344,8 +344,11 @@ def simple_paths(live: DataFrame) -> DataFrame:
         F.sort_array(F.collect_list(F.struct("steps", "v", "w"))).alias("way"), F.sum("length").alias("length"), F.sum("score").alias("score")
     )
     path = F.concat(F.array(F.col("way")[0]["v"]), F.transform("way", lambda e: e["w"]))
-    return grouped.select(
-        F.col("c_v").alias("s"), F.col("c_w").alias("v"), F.element_at(path, -1).alias("t"), F.lit("simple").alias("type"), "length", "score", path.alias("path")
+    # Of a path and its dual the smaller one is told by its second node, the other by that node's flip.
+    made = grouped.select(path.alias("path"), "length", "score")
+    via = F.when(F.col("path") <= reverse_path(F.col("path")), F.col("path")[1]).otherwise(F.element_at("path", -2))
+    return made.select(
+        F.col("path")[0].alias("s"), via.alias("v"), F.element_at("path", -1).alias("t"), F.lit("simple").alias("type"), "length", "score", "path"
     )
 
 
@@ -359,12 +362,12 @@ def _ordered_rings(edges: DataFrame) -> DataFrame:
         for k in range(len(after)):
             out.append((v, after[v], first, after[first], k))
             v = after[v]
-        return pd.DataFrame(out, columns=["v", "w", "c_v", "c_w", "steps"])
+        return object_frame(out, ["v", "w", "c_v", "c_w", "steps"])
 
     return edges.groupBy("low").applyInPandas(run, "v string, w string, c_v string, c_w string, steps long")
 
 
 def dual_paths(unitigs: DataFrame) -> DataFrame:
-    """Each unitig's dual: ends flipped, path reversed."""
-    path = reverse_path(F.col("path"))
-    return unitigs.withColumn("path", path).withColumn("s", path[0]).withColumn("v", path[1]).withColumn("t", F.element_at(path, -1))
+    """Each simple unitig's dual: ends flipped, path reversed."""
+    turned = unitigs.withColumn("path", reverse_path(F.col("path"))).withColumn("v", flip_end(F.col("v")))
+    return turned.withColumn("s", F.col("path")[0]).withColumn("t", F.element_at("path", -1))

@@ -1,15 +1,622 @@
-"""Registered queries over the driver's tables, each with the SQL that gives the same rows."""
+"""Registered queries over the driver's tables, each with the SQL that gives the same rows. Roles are in ``roles``."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from strandmill.functions import sequences as S
+from strandmill.operators import align, assembly, components, consensus, gfa, graph, overlaps, paths, stats, tracking
+from strandmill.plans import roles
+from strandmill.plans.roles import BASES_SQL, EDGES_SQL, ITEMS_SQL, MAP_SQL, OVERLAPS_SQL, TILING_SQL, table
+from strandmill.sources import readers
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+LIMITS = overlaps.CoverageLimits(max_diff=2, max_cov=1000, min_cov=1, min_len=1500)
+OK = "(identity >= 90 AND q_l >= 1500 AND t_l >= 1500)"
+BESTN = 1
+
+Query = Callable[[SparkSession, str], DataFrame]
+_queries: dict[str, Query] = {}
+_sql: dict[str, str] = {}
+
+
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    def keep(f: Query) -> Query:
+        _queries[f.__name__] = f
+        if sql is not None:
+            _sql[f.__name__] = sql
+        return f
+
+    return keep
+
+
+# -- overlaps ---------------------------------------------------------------------------------------------------------
+
+COUNTS_SQL = f"cov AS (SELECT q_id, count(*) FILTER (WHERE {OK} AND q_s = 0) AS n_5p, count(*) FILTER (WHERE {OK} AND q_e = q_l) AS n_3p FROM ovl GROUP BY q_id)"
+IGNORED_SQL = f"{COUNTS_SQL}, ign AS (SELECT q_id FROM cov WHERE abs(n_5p - n_3p) > 2 OR greatest(n_5p, n_3p) > 1000 OR least(n_5p, n_3p) < 1)"
+CONTAINED_SQL = f"""{IGNORED_SQL}, good AS (SELECT * FROM ovl WHERE {OK} AND q_id NOT IN (SELECT q_id FROM ign) AND t_id NOT IN (SELECT q_id FROM ign)),
+inside AS (SELECT DISTINCT CASE WHEN tag = 'contained' THEN q_id WHEN tag = 'contains' THEN t_id END AS read_id FROM good WHERE tag IN ('contained', 'contains'))"""
+
+
+@query(f"WITH {OVERLAPS_SQL}, {IGNORED_SQL} SELECT q_id FROM ign")
+def q_stage1_ignore(spark, sf_dir):
+    return overlaps.ignored_reads(roles.overlaps(spark, sf_dir), LIMITS)
+
+
+@query(
+    f"WITH {OVERLAPS_SQL} SELECT q_id, max(q_l) AS q_l, cast(count(*) FILTER (WHERE {OK} AND q_s = 0) as bigint) AS n_5p, "
+    f"cast(count(*) FILTER (WHERE {OK} AND q_e = q_l) as bigint) AS n_3p FROM ovl GROUP BY q_id "
+    f"HAVING count(*) FILTER (WHERE {OK} AND q_s = 0) > 0 OR count(*) FILTER (WHERE {OK} AND q_e = q_l) > 0"
+)
+def q_ovlp_stats(spark, sf_dir):
+    return overlaps.overlap_stats(roles.overlaps(spark, sf_dir), LIMITS.min_len)
+
+
+@query(f"WITH {OVERLAPS_SQL}, {CONTAINED_SQL} SELECT read_id FROM inside")
+def q_contained_ids(spark, sf_dir):
+    rows = roles.overlaps(spark, sf_dir)
+    return overlaps.contained_reads(rows, overlaps.ignored_reads(rows, LIMITS), LIMITS)
+
+
+_TEXT = ", ".join(f"cast({c} as string)" for c in roles.OVERLAP_EXPRESSIONS)
+
+
+@query(f"""WITH {OVERLAPS_SQL}, {CONTAINED_SQL},
+e AS (SELECT *, CASE WHEN q_s = 0 THEN 0 WHEN q_e = q_l THEN 1 END AS side, t_l - (t_e - t_s) AS m_range FROM good
+  WHERE q_id NOT IN (SELECT read_id FROM inside) AND t_id NOT IN (SELECT read_id FROM inside)),
+n AS (SELECT *, row_number() OVER (PARTITION BY q_id, side ORDER BY score, m_range, {_TEXT}) - 1 AS nth FROM e WHERE side IS NOT NULL),
+s AS (SELECT *, coalesce(sum(CASE WHEN nth >= {BESTN} AND m_range > 1000 THEN 1 ELSE 0 END)
+  OVER (PARTITION BY q_id, side ORDER BY nth ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS stopped FROM n)
+SELECT {", ".join(roles.OVERLAP_EXPRESSIONS)} FROM s WHERE stopped = 0""")
+def q_bestn_stop(spark, sf_dir):
+    """All three stages: the best overlaps of each read end."""
+    return overlaps.filter_overlaps(roles.overlaps(spark, sf_dir), BESTN, LIMITS)
+
+
+PROPER_SQL = """others AS (SELECT * FROM ovl WHERE q_id <> t_id),
+nested AS (SELECT DISTINCT CASE WHEN tag = 'contained' THEN q_id ELSE t_id END AS read_id FROM others WHERE tag IN ('contained', 'contains')),
+proper AS (SELECT * FROM others WHERE tag NOT IN ('contained', 'contains', 'none') AND identity >= 96 AND q_l >= 4000 AND t_l >= 4000
+  AND q_id NOT IN (SELECT read_id FROM nested) AND t_id NOT IN (SELECT read_id FROM nested))"""
+
+
+@query(f"WITH {OVERLAPS_SQL}, {PROPER_SQL} SELECT {', '.join(roles.OVERLAP_EXPRESSIONS)} FROM proper")
+def q_graph_rows(spark, sf_dir):
+    return overlaps.graph_rows(roles.overlaps(spark, sf_dir), 96.0, 4000)
+
+
+@query(f"""WITH {OVERLAPS_SQL}, p AS (SELECT least(q_id, t_id) AS low, greatest(q_id, t_id) AS high,
+row_number() OVER (PARTITION BY least(q_id, t_id), greatest(q_id, t_id) ORDER BY {_TEXT}) AS nth, * FROM ovl)
+SELECT {", ".join(roles.OVERLAP_EXPRESSIONS)} FROM p WHERE nth = 1""")
+def q_pair_dedupe(spark, sf_dir):
+    rows = roles.overlaps(spark, sf_dir)
+    return overlaps.first_per_pair(rows, "q_id", "t_id", [F.col(c).cast("string") for c in rows.columns])
+
+
+# -- string graph -----------------------------------------------------------------------------------------------------
+
+_ORDER = "q_id, score, t_id, q_s, q_e, t_e, t_strand, identity"
+OVERLAP_EDGES_SQL = f"""{PROPER_SQL},
+pick AS (SELECT *, row_number() OVER (PARTITION BY least(q_id, t_id), greatest(q_id, t_id) ORDER BY {_ORDER}) AS nth FROM proper),
+g AS (SELECT *, CASE WHEN t_strand = 1 THEN t_e ELSE t_s END AS g_b, CASE WHEN t_strand = 1 THEN t_s ELSE t_e END AS g_e FROM pick WHERE nth = 1),
+made AS (
+  SELECT t_id || ':B' AS v, q_id || ':B' AS w, q_id AS rid, q_s AS sp, 0 AS tp, score, identity FROM g WHERE q_s > 0 AND g_b < g_e AND g_e <> t_l
+  UNION ALL SELECT q_id || ':E', t_id || ':E', t_id, g_e, t_l, score, identity FROM g WHERE q_s > 0 AND g_b < g_e AND g_e <> t_l
+  UNION ALL SELECT t_id || ':E', q_id || ':B', q_id, q_s, 0, score, identity FROM g WHERE q_s > 0 AND g_b >= g_e AND g_e <> 0
+  UNION ALL SELECT q_id || ':E', t_id || ':B', t_id, g_e, 0, score, identity FROM g WHERE q_s > 0 AND g_b >= g_e AND g_e <> 0
+  UNION ALL SELECT q_id || ':B', t_id || ':B', t_id, g_b, 0, score, identity FROM g WHERE q_s <= 0 AND g_b < g_e AND g_b <> 0 AND q_e <> q_l
+  UNION ALL SELECT t_id || ':E', q_id || ':E', q_id, q_e, q_l, score, identity FROM g WHERE q_s <= 0 AND g_b < g_e AND g_b <> 0 AND q_e <> q_l
+  UNION ALL SELECT q_id || ':B', t_id || ':E', t_id, g_b, t_l, score, identity FROM g WHERE q_s <= 0 AND g_b >= g_e AND g_b <> t_l AND q_e <> q_l
+  UNION ALL SELECT t_id || ':B', q_id || ':E', q_id, q_e, q_l, score, identity FROM g WHERE q_s <= 0 AND g_b >= g_e AND g_b <> t_l AND q_e <> q_l)"""
+
+
+def _overlap_edges(spark, sf_dir):
+    proper = overlaps.graph_rows(roles.overlaps(spark, sf_dir), 96.0, 4000)
+    return graph.overlap_edges(proper, [F.col(c.strip()) for c in _ORDER.split(",")])
+
+
+@query(f"WITH {OVERLAPS_SQL}, {OVERLAP_EDGES_SQL} SELECT v, w, rid, sp, tp, abs(sp - tp) AS length, -score AS score, identity FROM made")
+def q_overlap_edges(spark, sf_dir):
+    return _overlap_edges(spark, sf_dir)
+
+
+BEST_SQL = """r AS (SELECT v, w, row_number() OVER (PARTITION BY v ORDER BY score DESC, length, w) = 1 AS best_out,
+row_number() OVER (PARTITION BY w ORDER BY score DESC, length, v) = 1 AS best_in FROM edge)"""
+
+
+@query(f"WITH {EDGES_SQL}, {BEST_SQL} SELECT v, w, best_out, best_in FROM r")
+def q_best_overlap(spark, sf_dir):
+    return graph.best_edges(roles.edges(spark, sf_dir))
+
+
+TWO_HOP_SQL = """top AS (SELECT v, max(length) + 500 AS most FROM edge GROUP BY v),
+hop AS (SELECT DISTINCT a.v, b.w FROM edge a JOIN top USING (v) JOIN edge b ON a.w = b.v JOIN edge c ON c.v = a.v AND c.w = b.w WHERE a.length + b.length < most)"""
+
+
+@query(f"WITH {EDGES_SQL}, {TWO_HOP_SQL} SELECT v, w FROM hop")
+def q_two_hop_reduction(spark, sf_dir):
+    return graph.two_hop_reduction(roles.edges(spark, sf_dir))
+
+
+def _flip(c: str) -> str:
+    return f"CASE WHEN {c} LIKE '%:B' THEN replace({c}, ':B', ':E') ELSE replace({c}, ':E', ':B') END"
+
+
+@query(f"""WITH {EDGES_SQL}, {TWO_HOP_SQL}, {BEST_SQL},
+spur AS (SELECT v, w FROM edge WHERE w NOT IN (SELECT v FROM edge) AND v IN (SELECT v FROM edge GROUP BY v HAVING count(*) > 1)
+  UNION SELECT v, w FROM edge WHERE v NOT IN (SELECT w FROM edge) AND w IN (SELECT w FROM edge GROUP BY w HAVING count(*) > 1)),
+worse AS (SELECT v, w FROM r WHERE NOT best_out AND NOT best_in)
+SELECT e.v, e.w, CASE WHEN w2.v IS NULL AND s.v IS NULL AND h.v IS NULL THEN 'G' WHEN w2.v IS NOT NULL THEN 'R' WHEN s.v IS NOT NULL THEN 'S' ELSE 'TR' END AS type
+FROM edge e LEFT JOIN hop h ON h.v = e.v AND h.w = e.w LEFT JOIN spur s ON s.v = e.v AND s.w = e.w LEFT JOIN worse w2 ON w2.v = e.v AND w2.w = e.w""")
+def q_edge_type(spark, sf_dir):
+    edges = roles.edges(spark, sf_dir)
+    none = edges.select("v", "w").limit(0)
+    return graph.typed_edges(edges, graph.two_hop_reduction(edges), none, graph.not_best_edges(edges, none), graph.spur_edges(edges, none)).select("v", "w", "type")
+
+
+@query(f"""WITH {EDGES_SQL}, s AS (SELECT v, w FROM edge WHERE w NOT IN (SELECT v FROM edge) AND v IN (SELECT v FROM edge GROUP BY v HAVING count(*) > 1)
+  UNION SELECT v, w FROM edge WHERE v NOT IN (SELECT w FROM edge) AND w IN (SELECT w FROM edge GROUP BY w HAVING count(*) > 1))
+SELECT v, w FROM s UNION SELECT {_flip('w')} AS v, {_flip('v')} AS w FROM s""")
+def q_spur_edges(spark, sf_dir):
+    edges = roles.edges(spark, sf_dir)
+    return graph.spur_edges(edges, edges.select("v", "w").limit(0))
+
+
+DEGREE_SQL = """deg AS (SELECT node, cast(sum(o) as bigint) AS out_degree, cast(sum(i) as bigint) AS in_degree
+FROM (SELECT v AS node, 1 AS o, 0 AS i FROM edge UNION ALL SELECT w, 0, 1 FROM edge) x GROUP BY node)"""
+
+
+@query(f"WITH {EDGES_SQL}, {DEGREE_SQL} SELECT node, out_degree, in_degree FROM deg")
+def q_degree(spark, sf_dir):
+    return graph.degrees(roles.edges(spark, sf_dir))
+
+
+UNITIG_SQL = (
+    "utg AS (SELECT 'n' || cast(o_custkey as string) || ':B' AS s, 'n' || cast(o_custkey * 7 % 1009 as string) || ':E' AS t, "
+    "lpad(cast(o_orderkey as string), 9, '0') || ':B' AS v, cast(floor(o_totalprice) as bigint) AS length, cast(o_orderkey % 5 as int) + 2 AS n_nodes FROM orders)"
+)
+
+
+def _unitigs(spark, sf_dir):
+    nodes = F.transform(F.sequence(F.lit(1), (F.col("o_orderkey") % 5).cast("int") + 2), lambda i: F.concat(F.lit("p"), i.cast("string")))
+    return table(spark, sf_dir, "orders").select(
+        F.concat(F.lit("n"), F.col("o_custkey").cast("string"), F.lit(":B")).alias("s"),
+        F.concat(F.lit("n"), (F.col("o_custkey") * 7 % 1009).cast("string"), F.lit(":E")).alias("t"),
+        F.concat(F.lpad(F.col("o_orderkey").cast("string"), 9, "0"), F.lit(":B")).alias("v"),
+        F.floor("o_totalprice").cast("long").alias("length"),
+        F.lit("simple").alias("type"),
+        nodes.alias("path"),
+    )
+
+
+@query(f"""WITH {UNITIG_SQL}, d AS (SELECT node, sum(o) AS o, sum(i) AS i FROM (SELECT s AS node, 1 AS o, 0 AS i FROM utg UNION ALL SELECT t, 0, 1 FROM utg) x GROUP BY node),
+f AS (SELECT s, t, v FROM utg WHERE length < 60000 AND s IN (SELECT node FROM d WHERE i = 1 AND o = 2) AND t IN (SELECT node FROM d WHERE i = 2 AND o = 1))
+SELECT s, t, v FROM f UNION SELECT {_flip('t')}, {_flip('s')}, {_flip('v')} FROM f""")
+def q_repeat_bridge(spark, sf_dir):
+    return graph.repeat_bridges(_unitigs(spark, sf_dir))
+
+
+@query(f"WITH {UNITIG_SQL}, n AS (SELECT s, t, v, row_number() OVER (PARTITION BY s, t ORDER BY v) AS nth FROM utg WHERE n_nodes <= 3) SELECT s, t, v FROM n WHERE nth > 1")
+def q_dup_simple(spark, sf_dir):
+    return graph.duplicate_paths(_unitigs(spark, sf_dir))
+
+
+@query(f"""WITH {EDGES_SQL}, seeds AS (SELECT DISTINCT v AS seed FROM edge), one AS (SELECT seed, w AS node FROM seeds JOIN edge ON v = seed),
+two AS (SELECT seed, e.w AS node FROM one JOIN edge e ON e.v = one.node)
+SELECT seed, node FROM (SELECT seed, seed AS node FROM seeds UNION SELECT * FROM one UNION SELECT * FROM two) x""")
+def q_reachability(spark, sf_dir):
+    edges = roles.edges(spark, sf_dir)
+    seeds = edges.select(F.col("v").alias("seed"), F.lit(None).cast("string").alias("avoid")).distinct()
+    return graph.neighbourhood(edges, seeds, 2).select("seed", "node")
+
+
+CHAIN_SQL = "chain AS (SELECT user_id, event_id, lead(event_id) OVER (PARTITION BY user_id ORDER BY event_id) AS nxt, cast(floor(value) as bigint) AS n FROM events)"
+
+
+def _chains(spark, sf_dir):
+    """Each user's events as a chain of edges."""
+    name = lambda c: F.concat(F.lpad(F.col(c).cast("string"), 12, "0"), F.lit(":E"))
+    rows = table(spark, sf_dir, "events").selectExpr("user_id", "event_id", "lead(event_id) over (partition by user_id order by event_id) as nxt", "cast(floor(value) as bigint) as n")
+    return rows.filter("nxt is not null").select(name("event_id").alias("v"), name("nxt").alias("w"), F.col("n").alias("length"), F.lit(1).alias("score"))
+
+
+@query(f"""WITH {CHAIN_SQL}, u AS (SELECT user_id, min(event_id) AS a, max(event_id) AS z, cast(count(*) as bigint) AS c, cast(sum(n) FILTER (WHERE nxt IS NOT NULL) as bigint) AS length,
+  min(nxt) AS b FROM chain GROUP BY user_id HAVING count(*) > 1)
+SELECT lpad(cast(a as string), 12, '0') || ':E' AS s, lpad(cast(b as string), 12, '0') || ':E' AS v, lpad(cast(z as string), 12, '0') || ':E' AS t, length, c - 1 AS score, c AS n_nodes FROM u""")
+def q_simple_paths(spark, sf_dir):
+    return graph.simple_paths(_chains(spark, sf_dir)).select("s", "v", "t", "length", "score", F.size("path").cast("long").alias("n_nodes"))
+
+
+@query(f"""WITH {CHAIN_SQL}, low AS (SELECT user_id, min(event_id) AS a, count(*) AS c FROM chain GROUP BY user_id)
+SELECT lpad(cast(event_id as string), 12, '0') || ':E' AS node, lpad(cast(a as string), 12, '0') || ':E' AS label FROM chain JOIN low USING (user_id) WHERE c > 1""")
+def q_components(spark, sf_dir):
+    return components.connected_components(_chains(spark, sf_dir).select(F.col("v").alias("a"), F.col("w").alias("b")))
+
+
+# -- read tracking ----------------------------------------------------------------------------------------------------
+
+TOP_SQL = f"""{MAP_SQL}, cand AS (SELECT t_id, -score AS overlap_len, q_id FROM ovl WHERE t_l >= 2500 AND q_id IN (SELECT rid FROM ctg_map)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY t_id ORDER BY overlap_len DESC, q_id DESC) AS nth FROM cand), top AS (SELECT t_id, overlap_len, q_id FROM ranked WHERE nth <= 5)"""
+VOTE_SQL = f"""{TOP_SQL}, votes AS (SELECT t_id AS bread, ctg, cast(count(*) as bigint) AS count, cast(-sum(overlap_len) as bigint) AS score
+FROM top JOIN (SELECT DISTINCT rid, ctg FROM ctg_map) m ON q_id = rid GROUP BY 1, 2)"""
+
+
+@query(f"WITH {OVERLAPS_SQL}, {TOP_SQL} SELECT t_id, overlap_len, q_id FROM top")
+def q_topn_per_target(spark, sf_dir):
+    return tracking.top_overlaps(roles.overlaps(spark, sf_dir), 2500, 5, roles.read_map(spark, sf_dir))
+
+
+@query(f"WITH {OVERLAPS_SQL}, {VOTE_SQL} SELECT bread, ctg, count, score FROM votes")
+def q_contig_vote(spark, sf_dir):
+    mapped = roles.read_map(spark, sf_dir)
+    return tracking.contig_votes(tracking.top_overlaps(roles.overlaps(spark, sf_dir), 2500, 5, mapped), mapped)
+
+
+RANK_SQL = f"""{VOTE_SQL}, rk AS (SELECT v.*, cast(row_number() OVER (PARTITION BY bread ORDER BY score, v.ctg) - 1 as int) AS rank, CASE WHEN o.rid IS NULL THEN 0 ELSE 1 END AS in_ctg
+FROM votes v LEFT JOIN (SELECT DISTINCT rid, ctg FROM ctg_map) o ON o.rid = bread AND o.ctg = v.ctg)"""
+
+
+@query(f"WITH {OVERLAPS_SQL}, {RANK_SQL} SELECT bread, ctg, count, rank, score, in_ctg FROM rk")
+def q_rank_in_ctg(spark, sf_dir):
+    return tracking.track_reads(roles.overlaps(spark, sf_dir), roles.read_map(spark, sf_dir), 2500, 5)
+
+
+_PREADS = "SELECT doc_id AS ord, 'prolog/' || cast(doc_id % 97 as string) || cast(doc_id % 10 as string) || '/0_' || cast(n_chars as string) AS name FROM documents"
+_RAWREADS = "SELECT doc_id AS ord, 'movie/' || cast(doc_id as string) AS name FROM documents"
+
+
+def _id_tables(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    seed = F.concat(F.lit("prolog/"), (F.col("doc_id") % 97).cast("string"), (F.col("doc_id") % 10).cast("string"), F.lit("/0_"), F.col("n_chars").cast("string"))
+    return docs.select(F.col("doc_id").alias("ord"), seed.alias("name")), docs.select(F.col("doc_id").alias("ord"), F.concat(F.lit("movie/"), F.col("doc_id").cast("string")).alias("name"))
+
+
+CHAIN_IDS_SQL = f"pre AS ({_PREADS}), raw AS ({_RAWREADS}), ids AS (SELECT pre.ord AS pid, raw.ord AS rid, raw.name AS oid FROM pre JOIN raw ON raw.ord = cast(split_part(pre.name, '/', 2) as bigint) // 10)"
+
+
+@query(f"WITH {CHAIN_IDS_SQL} SELECT pid, rid, oid FROM ids")
+def q_chain_ids(spark, sf_dir):
+    return tracking.id_chain(*_id_tables(spark, sf_dir))
+
+
+@query(f"""WITH {OVERLAPS_SQL}, {RANK_SQL}, {CHAIN_IDS_SQL}, best AS (SELECT cast(bread as bigint) AS id, split_part(ctg, '-', 1) AS ctg FROM rk WHERE rank = 0),
+both_ AS (SELECT raw.name AS oid, ctg, 0 AS source, id FROM best JOIN raw ON raw.ord = id UNION ALL SELECT oid, ctg, 1, id FROM best JOIN ids ON pid = id),
+last AS (SELECT *, row_number() OVER (PARTITION BY oid ORDER BY source DESC, id DESC) AS nth FROM both_) SELECT oid, ctg FROM last WHERE nth = 1""")
+def q_read_assignments(spark, sf_dir):
+    tracks = tracking.track_reads(roles.overlaps(spark, sf_dir), roles.read_map(spark, sf_dir), 2500, 5)
+    pre, raw = _id_tables(spark, sf_dir)
+    return tracking.read_assignments(tracks, tracks, tracking.id_chain(pre, raw), raw)
+
+
+@query(f"""WITH {OVERLAPS_SQL}, {RANK_SQL} SELECT split_part(ctg, '-', 1) AS ctg, cast(2 * count(*) as bigint) AS hits FROM rk WHERE rank = 0 GROUP BY 1""")
+def q_contig_hits(spark, sf_dir):
+    tracks = tracking.track_reads(roles.overlaps(spark, sf_dir), roles.read_map(spark, sf_dir), 2500, 5)
+    return tracking.contig_hits(tracks, tracks)
+
+
+NODES_SQL = "member AS (SELECT lpad(cast(o_custkey as string), 9, '0') || ':B' AS node, lpad(cast(o_orderkey % 40 as string), 6, '0') || 'F' AS ctg_id FROM orders)"
+
+
+def _members(spark, sf_dir):
+    return table(spark, sf_dir, "orders").selectExpr("lpad(cast(o_custkey as string), 9, '0') || ':B' AS node", "lpad(cast(o_orderkey % 40 as string), 6, '0') || 'F' AS ctg_id")
+
+
+@query(f"WITH {NODES_SQL} SELECT node, string_agg(ctg_id, ' ' ORDER BY ctg_id) AS groups FROM (SELECT DISTINCT node, ctg_id FROM member) x GROUP BY node")
+def q_node_map(spark, sf_dir):
+    return assembly.node_map(_members(spark, sf_dir), "node", "ctg_id").select("node", F.array_join("groups", " ").alias("groups"))
+
+
+@query(f"""WITH {EDGES_SQL}, {NODES_SQL}, m AS (SELECT DISTINCT node, ctg_id FROM member)
+SELECT a.ctg_id AS g1, b.ctg_id AS g2, cast(count(*) as bigint) AS links FROM edge JOIN m a ON a.node = v JOIN m b ON b.node = w WHERE a.ctg_id <> b.ctg_id GROUP BY 1, 2""")
+def q_pair_links(spark, sf_dir):
+    return assembly.pair_links(roles.edges(spark, sf_dir), _members(spark, sf_dir).distinct())
+
+
+# -- statistics -------------------------------------------------------------------------------------------------------
+
+HIST_SQL = "hist AS (SELECT n_chars AS rl, cast(count(*) as bigint) AS count FROM documents GROUP BY n_chars)"
+
+
+def _histogram(spark, sf_dir):
+    return stats.length_histogram(table(spark, sf_dir, "documents"), F.col("n_chars"))
+
+
+def _stats_sql(name: str) -> str:
+    return f"""{name}_c AS (SELECT rl, count, sum(rl * count) OVER (ORDER BY rl DESC) AS bases, sum(count) OVER (ORDER BY rl) AS upto,
+sum(count) OVER () AS nreads, sum(rl * count) OVER () AS total FROM {name}),
+{name}_s AS (SELECT cast(max(nreads) as bigint) AS nreads, cast(max(total) as bigint) AS total, max(rl) FILTER (WHERE bases >= floor(total * 0.5)) AS n50,
+min(rl) FILTER (WHERE upto > floor(nreads * 0.95)) AS p95, sum(cast(rl * rl * count as double)) / max(cast(total as double)) AS esize FROM {name}_c)"""
+
+
+@query(f"WITH {HIST_SQL} SELECT rl, count FROM hist")
+def q_length_hist(spark, sf_dir):
+    return _histogram(spark, sf_dir)
+
+
+@query(f"WITH {HIST_SQL}, c AS (SELECT rl, sum(rl * count) OVER (ORDER BY rl DESC) AS bases FROM hist) SELECT max(rl) AS cutoff FROM c WHERE bases >= 100000")
+def q_cutoff(spark, sf_dir):
+    return stats.coverage_cutoff(_histogram(spark, sf_dir), 100_000)
+
+
+@query(f"WITH {HIST_SQL}, {_stats_sql('hist')} SELECT nreads, total, n50, p95, round(esize, 6) AS esize FROM hist_s")
+def q_n50_p95_esize(spark, sf_dir):
+    return stats.read_stats(_histogram(spark, sf_dir)).withColumn("esize", F.round("esize", 6))
+
+
+def _report_part(name: str, table_name: str) -> str:
+    return (
+        f"{table_name}.nreads AS {name}_reads, {table_name}.total AS {name}_bases, round({table_name}.total / cast({table_name}.nreads as double), 3) AS {name}_mean, {table_name}.n50 AS {name}_n50, "
+        f"{table_name}.p95 AS {name}_p95, round({table_name}.total / cast(1000000 as double), 3) AS {name}_coverage, round({table_name}.esize, 3) AS {name}_esize"
+    )
+
+
+@query(f"""WITH {HIST_SQL}, seed AS (SELECT * FROM hist WHERE rl >= 2000), cor AS (SELECT cast(length(text) as bigint) AS rl, cast(count(*) as bigint) AS count FROM benchmark GROUP BY 1),
+{_stats_sql('hist')}, {_stats_sql('seed')}, {_stats_sql('cor')}
+SELECT {_report_part('raw', 'hist_s')}, {_report_part('seed', 'seed_s')}, {_report_part('preassembled', 'cor_s')}, 1000000 AS genome_length, 2000 AS length_cutoff,
+round(cor_s.total / cast(seed_s.total as double), 3) AS preassembled_yield, cast(2.5 as double) AS preassembled_seed_fragmentation, cast(75.0 as double) AS preassembled_seed_truncation FROM hist_s, seed_s, cor_s""")
+def q_report(spark, sf_dir):
+    raw = _histogram(spark, sf_dir)
+    corrected = stats.length_histogram(table(spark, sf_dir, "benchmark"), F.length("text"))
+    return stats.assembly_report(raw, stats.cutoff_reads(raw, 2000), corrected, 1_000_000, 2000, 2.5, 75.0)
+
+
+@query("WITH c AS (SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey) SELECT sum(n) / cast(count(*) as double) AS fragmentation FROM c")
+def q_fragmentation(spark, sf_dir):
+    return stats.fragmentation(table(spark, sf_dir, "lineitem"), "l_orderkey")
+
+
+@query("""WITH a AS (SELECT l_orderkey AS k, cast(sum(cast(l_quantity as bigint)) as bigint) AS n FROM lineitem GROUP BY 1), b AS (SELECT o_orderkey AS k, cast(floor(o_totalprice) as bigint) AS n FROM orders)
+SELECT -avg(a.n - b.n) AS truncation FROM a JOIN b USING (k)""")
+def q_truncation(spark, sf_dir):
+    pieces = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("k"), F.col("l_quantity").cast("long").alias("n"))
+    raw = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"), F.floor("o_totalprice").cast("long").alias("n"))
+    return stats.truncation(pieces, raw, "k", "n")
+
+
+# -- paths ------------------------------------------------------------------------------------------------------------
+
+COORD_SQL = f"""{TILING_SQL}, loc AS (SELECT *, cast(sum(abs(b - e)) OVER (PARTITION BY ctg_id ORDER BY ord) as bigint) AS w_coord,
+cast(sum(abs(b - e)) OVER (PARTITION BY ctg_id) as bigint) AS contig_len FROM tiling)"""
+
+
+def _located(spark, sf_dir):
+    return paths.path_coordinates(roles.tiling(spark, sf_dir))
+
+
+@query(f"WITH {COORD_SQL} SELECT ctg_id, v, w, ord, w_coord - abs(b - e) AS v_coord, w_coord, contig_len FROM loc")
+def q_path_coords(spark, sf_dir):
+    return paths.check_continuity(_located(spark, sf_dir)).select("ctg_id", "v", "w", "ord", "v_coord", "w_coord", "contig_len")
+
+
+@query(f"WITH {COORD_SQL} SELECT ctg_id, w AS node, w_coord AS coord FROM loc UNION ALL SELECT ctg_id, v, 0 FROM loc WHERE ord = 1")
+def q_node_coords(spark, sf_dir):
+    return paths.node_coordinates(_located(spark, sf_dir))
+
+
+@query(f"""WITH {COORD_SQL}, n AS (SELECT ctg_id, max(ord) AS n FROM loc GROUP BY ctg_id), alt AS (SELECT ctg_id, cast(floor(n / 4) as int) AS a, cast(floor(n / 2) as int) AS z FROM n WHERE n >= 4),
+coord AS (SELECT ctg_id, w AS node, w_coord AS coord FROM loc UNION ALL SELECT ctg_id, v, 0 FROM loc WHERE ord = 1)
+SELECT alt.ctg_id || '-001-01' AS a_ctg_id, alt.ctg_id AS p_ctg_id, lpad(cast(a as string), 9, '0') || ':B' AS first_node, lpad(cast(z as string), 9, '0') || ':B' AS last_node, x.coord AS start, y.coord AS "end"
+FROM alt JOIN coord x ON x.ctg_id = alt.ctg_id AND x.node = lpad(cast(a as string), 9, '0') || ':B' JOIN coord y ON y.ctg_id = alt.ctg_id AND y.node = lpad(cast(z as string), 9, '0') || ':B'""")
+def q_placement(spark, sf_dir):
+    tiling = roles.tiling(spark, sf_dir)
+    size = tiling.groupBy("ctg_id").agg(F.max("ord").alias("n")).filter("n >= 4")
+    node = lambda c: F.concat(F.lpad(F.floor(c).cast("string"), 9, "0"), F.lit(":B"))
+    alternatives = size.select(F.concat("ctg_id", F.lit("-001-01")).alias("ctg_id"), node(F.col("n") / 4).alias("v"), node(F.col("n") / 2).alias("w"), F.lit(1).alias("ord"))
+    return paths.place_alternatives(paths.path_coordinates(tiling), alternatives)
+
+
+@query(f"""WITH {COORD_SQL}, r AS (SELECT DISTINCT ctg_id, contig_len // 4 AS start, contig_len // 2 AS "end" FROM loc),
+hit AS (SELECT loc.*, r.start, r."end", w_coord - abs(b - e) AS v_coord FROM loc JOIN r USING (ctg_id)),
+f AS (SELECT ctg_id, max(ord) FILTER (WHERE v_coord <= start AND start < w_coord) AS lo, coalesce(max(ord) FILTER (WHERE v_coord < "end" AND "end" <= w_coord), 1) AS hi FROM hit GROUP BY ctg_id),
+base AS (SELECT hit.ctg_id, v_coord AS first_at FROM hit JOIN f ON f.ctg_id = hit.ctg_id AND hit.ord = f.lo)
+SELECT hit.ctg_id, ord, v, w, start - first_at AS new_start, "end" - first_at AS new_end FROM hit JOIN f ON f.ctg_id = hit.ctg_id JOIN base ON base.ctg_id = hit.ctg_id WHERE ord BETWEEN lo AND hi""")
+def q_subpath(spark, sf_dir):
+    located = _located(spark, sf_dir)
+    ranges = located.select("ctg_id", F.floor(F.col("contig_len") / 4).alias("start"), F.floor(F.col("contig_len") / 2).alias("end")).distinct()
+    return paths.sub_paths(located, ranges).select("ctg_id", "ord", "v", "w", "new_start", "new_end")
+
+
+@query("""SELECT user_id, event_id AS ord, max(CASE WHEN event_type = 'click' THEN event_id END) OVER (PARTITION BY user_id ORDER BY event_id) AS id FROM events""")
+def q_carry_forward(spark, sf_dir):
+    from pyspark.sql import Window as W
+
+    w = W.partitionBy("user_id").orderBy("event_id").rowsBetween(W.unboundedPreceding, W.currentRow)
+    return table(spark, sf_dir, "events").select("user_id", F.col("event_id").alias("ord"), F.last(F.when(F.col("event_type") == "click", F.col("event_id")), ignorenulls=True).over(w).alias("id"))
+
+
+_LINE = "SELECT cast(user_id as string) AS stream, event_id AS ord, CASE event_type WHEN 'error' THEN '+' WHEN 'view' THEN '*' ELSE 'r' || cast(event_id as string) END AS read_id, 'seq' || cast(event_id as string) AS sequence FROM events"
+
+
+@query(f"""WITH l AS ({_LINE}), p AS (SELECT *, coalesce(sum(CASE WHEN read_id IN ('+', '*') THEN 1 ELSE 0 END) OVER (PARTITION BY stream ORDER BY ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pile FROM l),
+c AS (SELECT stream, pile FROM p WHERE read_id = '+') SELECT p.stream, cast(p.pile as bigint) AS pile, ord, read_id, sequence FROM p JOIN c ON c.stream = p.stream AND c.pile = p.pile WHERE read_id NOT IN ('+', '*')""")
+def q_pile_sessions(spark, sf_dir):
+    token = F.when(F.col("event_type") == "error", "+").when(F.col("event_type") == "view", "*").otherwise(F.concat(F.lit("r"), F.col("event_id").cast("string")))
+    line = F.concat_ws(" ", token, F.concat(F.lit("seq"), F.col("event_id").cast("string")))
+    return consensus.pile_rows(table(spark, sf_dir, "events").select(F.col("user_id").cast("string").alias("stream"), F.col("event_id").alias("ord"), line.alias("line")))
+
+
+PILE_SQL = f"""{BASES_SQL}, m AS (SELECT d.source AS stream, d.doc_id AS ord, seq.sequence, length(seq.sequence) AS n FROM documents d JOIN seq ON seq.id = d.doc_id WHERE length(seq.sequence) > 0),
+sd AS (SELECT *, first_value(n) OVER (PARTITION BY stream ORDER BY ord) AS seed_len, first_value(ord) OVER (PARTITION BY stream ORDER BY ord) AS seed_id FROM m),
+k AS (SELECT *, row_number() OVER (PARTITION BY stream ORDER BY n DESC, ord) AS rnk, coalesce(sum(n) OVER (PARTITION BY stream ORDER BY n DESC, ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS bases,
+count(*) OVER (PARTITION BY stream) AS c, sum(n) OVER (PARTITION BY stream) AS cov FROM sd)"""
+
+
+@query(f"""WITH {PILE_SQL} SELECT stream, cast(seed_id as string) AS seed_id, cast(count(*) as bigint) AS n_reads, cast(sum(n) as bigint) AS bases FROM k
+WHERE c + 1 >= 3 AND cov // seed_len >= 1 AND bases // seed_len <= 20 AND rnk <= 499 GROUP BY stream, seed_id""")
+def q_longest_reads(spark, sf_dir):
+    sources = table(spark, sf_dir, "documents").select("doc_id", "source")
+    seqs = roles.bases(spark, sf_dir)
+    rows = sources.join(seqs, sources["doc_id"] == seqs["id"]).select(F.col("source").alias("stream"), F.lit(0).cast("long").alias("pile"), F.col("id").alias("ord"), F.col("id").cast("string").alias("read_id"), "sequence")
+    accepted = consensus.piles(rows, consensus.ConsensusConfig(min_cov_aln=1, max_cov_aln=20, min_n_read=3, min_len_aln=1))
+    size = F.aggregate("reads", F.lit(0).cast("long"), lambda a, s: a + F.length(s))
+    return accepted.select("stream", "seed_id", F.size("reads").cast("long").alias("n_reads"), size.alias("bases"))
+
+
+# -- k-mers and sequences ---------------------------------------------------------------------------------------------
+
+KMER_SQL = "km AS (SELECT id, pos, substr(sequence, cast(pos as int) + 1, 8) AS kmer FROM (SELECT id, sequence, unnest(range(0, greatest(length(sequence) - 8, 0))) AS pos FROM item) x)"
+
+
+def _items(spark, sf_dir):
+    return roles.bases(spark, sf_dir, "benchmark", "item_id")
+
+
+@query(f"WITH {ITEMS_SQL}, {KMER_SQL} SELECT kmer, cast(count(*) as bigint) AS n FROM km GROUP BY kmer")
+def q_kmer_hist(spark, sf_dir):
+    return align.kmer_table(_items(spark, sf_dir), 8).groupBy("kmer").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"WITH {ITEMS_SQL}, {KMER_SQL} SELECT id, cast(pos as int) AS pos, kmer FROM km WHERE kmer IN (SELECT kmer FROM km GROUP BY kmer HAVING count(*) <= 4)")
+def q_kmer_mask(spark, sf_dir):
+    return align.mask_kmers(align.kmer_table(_items(spark, sf_dir), 8), 4)
+
+
+SEED_SQL = f"{KMER_SQL}, seeds AS (SELECT q.id AS q_id, t.id AS t_id, cast(q.pos as int) AS q_pos, cast(t.pos as int) AS t_pos FROM km q JOIN km t ON q.kmer = t.kmer WHERE q.pos % 4 = 0)"
+
+
+@query(f"WITH {ITEMS_SQL}, {SEED_SQL} SELECT q_id, t_id, q_pos, t_pos FROM seeds")
+def q_kmer_join(spark, sf_dir):
+    items = _items(spark, sf_dir)
+    return align.seed_join(items, items, 8)
+
+
+@query(f"""WITH {ITEMS_SQL}, {SEED_SQL}, lo AS (SELECT q_id, t_id, min(q_pos - t_pos) AS low FROM seeds GROUP BY 1, 2)
+SELECT q_id, t_id, cast(floor((q_pos - t_pos - low) / 48.0) as bigint) AS bin, cast(count(*) as bigint) AS count FROM seeds JOIN lo USING (q_id, t_id) GROUP BY 1, 2, 3""")
+def q_diag_bins(spark, sf_dir):
+    items = _items(spark, sf_dir)
+    return align.diagonal_bins(align.seed_join(items, items, 8), 48)
+
+
+@query(f"WITH {BASES_SQL} SELECT id, reverse(translate(sequence, 'ACGT', 'TGCA')) AS rc FROM seq")
+def q_revcomp(spark, sf_dir):
+    return roles.bases(spark, sf_dir).select("id", S.reverse_complement(F.col("sequence")).alias("rc"))
+
+
+@query("""SELECT doc_id AS id, unnest(regexp_extract_all(upper(coalesce(text, '')), '[ACGT]+')) AS region FROM documents""")
+def q_regions(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return docs.select(F.col("doc_id").alias("id"), F.explode(S.clean_regions(F.upper(F.coalesce("text", F.lit(""))))).alias("region"))
+
+
+@query(f"""WITH {BASES_SQL} SELECT id, CASE WHEN length(sequence) % 60 = 0 AND length(sequence) > 0 THEN rtrim(w, chr(10)) ELSE w END AS wrapped
+FROM (SELECT id, sequence, regexp_replace(sequence, '(.{{60}})', '\\1' || chr(10), 'g') AS w FROM seq) x""")
+def q_wrap(spark, sf_dir):
+    return roles.bases(spark, sf_dir).select("id", S.wrap(F.col("sequence"), 60).alias("wrapped"))
+
+
+@query("SELECT doc_id AS id, md5(text) AS md5, split_part(source || '/' || lang, '/', 1) AS name FROM documents")
+def q_md5(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return docs.select(F.col("doc_id").alias("id"), F.md5("text").alias("md5"), F.split_part(F.concat_ws("/", "source", "lang"), F.lit("/"), F.lit(1)).alias("name"))
+
+
+@query(f"WITH {EDGES_SQL} SELECT v, w, {_flip('w')} AS dual_v, {_flip('v')} AS dual_w, split_part(v, ':', 1) AS read, CASE WHEN split_part(v, ':', 2) = 'E' THEN '+' ELSE '-' END AS orient FROM edge")
+def q_dual_edges(spark, sf_dir):
+    v, w = F.col("v"), F.col("w")
+    return roles.edges(spark, sf_dir).select("v", "w", S.reverse_end(w).alias("dual_v"), S.reverse_end(v).alias("dual_w"), S.node_read(v).alias("read"), S.node_orient(v).alias("orient"))
+
+
+_HEADER = "'m' || cast(doc_id % 7 as string) || '/' || cast(doc_id as string) || '/' || cast(doc_id % 50 as string) || '_' || cast(doc_id % 50 + n_chars + doc_id % 2 as string) || ' RQ=' || cast(doc_id % 10 as string)"
+
+
+@query(f"SELECT split_part(h, '/', 1) AS movie, split_part(h, '/', 1) || '/' || cast(doc_id as string) || '/' || cast(doc_id % 50 as string) || '_' || cast(doc_id % 50 + n as string) || ' RQ=' || cast(doc_id % 10 as string) AS name FROM (SELECT doc_id, length(text) AS n, {_HEADER} AS h FROM documents) x")
+def q_reheader(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select(F.expr(_HEADER).alias("name"), F.col("text").alias("sequence"), F.col("doc_id").alias("ord"))
+    return readers.reheadered(readers.parsed_headers(docs)).select("movie", "name")
+
+
+@query("""SELECT o_orderkey AS id, o_totalprice FROM orders WHERE NOT (100 * ((o_orderkey % 100) / 100.0) > 96 AND 100 * ((o_custkey % 100) / 100.0) > 97 AND abs(cast(floor(o_totalprice) as bigint) - 100000) < 50000)""")
+def q_dedup_alternatives(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("id"), "o_totalprice", (F.col("o_orderkey") % 100 / 100.0).alias("identity"), (F.col("o_custkey") % 100 / 100.0).alias("coverage"), (F.floor("o_totalprice") - 100000).alias("delta_len")
+    )
+    return assembly.distinct_alternatives(orders, 96, 97, 50000).select("id", "o_totalprice")
+
+
+# -- export -----------------------------------------------------------------------------------------------------------
+
+GFA_SQL = f"""{EDGES_SQL}, node AS (SELECT lpad(cast(p_partkey as string), 9, '0') AS name, cast(p_size * 100 as bigint) AS len FROM part),
+ge AS (SELECT 'edge-' || split_part(v, ':', 1) || '-' || split_part(w, ':', 1) AS name, split_part(v, ':', 1) AS v, split_part(w, ':', 1) AS w, x.len AS v_len, y.len AS w_len, length
+  FROM edge JOIN node x ON x.name = split_part(v, ':', 1) JOIN node y ON y.name = split_part(w, ':', 1))"""
+
+
+def _gfa(spark, sf_dir):
+    nodes = table(spark, sf_dir, "part").select(F.lpad(F.col("p_partkey").cast("string"), 9, "0").alias("name"), (F.col("p_size") * 100).cast("long").alias("len"), F.lit("*").alias("seq"))
+    edges = roles.edges(spark, sf_dir).select(S.node_read(F.col("v")).alias("v"), S.node_read(F.col("w")).alias("w"), "length")
+    a = nodes.select(F.col("name").alias("a_name"), F.col("len").alias("v_len"))
+    b = nodes.select(F.col("name").alias("b_name"), F.col("len").alias("w_len"))
+    met = edges.join(a, F.col("v") == F.col("a_name")).join(b, F.col("w") == F.col("b_name"))
+    built = met.select(
+        F.concat_ws("-", F.lit("edge"), "v", "w").alias("name"), "v", F.lit("+").alias("v_orient"), "w", F.lit("-").alias("w_orient"),
+        F.lit(0).cast("long").alias("v_start"), F.col("v_len").alias("v_end"), F.least("length", "w_len").alias("w_start"), F.col("w_len").alias("w_end"), F.lit("*").alias("cigar"),
+    )
+    paths_ = roles.tiling(spark, sf_dir).groupBy(F.col("ctg_id").alias("name")).agg(F.sort_array(F.collect_list(F.struct("ord", "w", "b"))).alias("x"))
+    paths_ = paths_.select("name", F.transform("x", lambda r: S.node_read(r["w"])).alias("nodes"), F.transform("x", lambda r: F.concat(r["b"].cast("string"), F.lit("M"))).alias("cigars"))
+    return gfa.GfaGraph(gfa.checked_nodes(nodes), gfa.checked_edges(built), gfa.checked_paths(paths_))
+
+
+@query(f"""WITH {GFA_SQL}, {TILING_SQL} SELECT 0 AS section, 'H' || chr(9) || 'VN:Z:1.0' AS line
+UNION ALL SELECT 1, concat_ws(chr(9), 'S', name, '*', 'LN:i:' || cast(len as string)) FROM node
+UNION ALL SELECT 2, concat_ws(chr(9), 'L', v, '+', w, '-', cast(w_len - least(length, w_len) as string) || 'M') FROM ge
+UNION ALL SELECT 3, concat_ws(chr(9), 'P', ctg_id, string_agg(split_part(w, ':', 1), ',' ORDER BY ord), string_agg(cast(b as string) || 'M', ',' ORDER BY ord)) FROM tiling GROUP BY ctg_id""")
+def q_gfa1_lines(spark, sf_dir):
+    return gfa.gfa1_lines(_gfa(spark, sf_dir))
+
+
+@query(f"""WITH {GFA_SQL} SELECT 0 AS section, 'H' || chr(9) || 'VN:Z:2.0' AS line
+UNION ALL SELECT 1, concat_ws(chr(9), 'S', name, cast(len as string), '*') FROM node
+UNION ALL SELECT 2, concat_ws(chr(9), 'E', name, v || '+', w || '-', '0' || CASE WHEN v_len = 0 THEN '$' ELSE '' END, cast(v_len as string) || '$',
+  cast(least(length, w_len) as string) || CASE WHEN length >= w_len THEN '$' ELSE '' END, cast(w_len as string) || '$', '*') FROM ge""")
+def q_gfa2_lines(spark, sf_dir):
+    return gfa.gfa2_lines(_gfa(spark, sf_dir))
+
+
+# -- sequential algorithms: rows only ---------------------------------------------------------------------------------
+
+
+@query()
+def q_tr_fold(spark, sf_dir):
+    """Transitive reduction as a fold per node."""
+    return graph.transitive_edges(roles.edges(spark, sf_dir))
+
+
+@query()
+def q_string_graph(spark, sf_dir):
+    """Typed edges after all reductions."""
+    return graph.string_graph(_overlap_edges(spark, sf_dir)).select("v", "w", "type")
+
+
+@query()
+def q_contig_paths(spark, sf_dir):
+    """Unitigs, bubbles and contigs of the reduced graph."""
+    edges = graph.string_graph(_overlap_edges(spark, sf_dir))
+    live = edges.filter("type = 'G'")
+    unitigs = assembly.simplify_unitigs(graph.simple_paths(live), 50, 80)
+    return assembly.contig_paths(unitigs)
+
+
+@query()
+def q_align_stats(spark, sf_dir):
+    """Exact alignments of each text, as bases, with the same text after deletions."""
+    rows = roles.bases(spark, sf_dir).select(F.col("id").cast("string").alias("id"), "sequence")
+    changed = F.regexp_replace("sequence", "GAT", "GT")
+    return align.align_pairs(rows.select(F.col("id").alias("q_id"), F.col("id").alias("t_id"), changed.alias("q_seq"), F.col("sequence").alias("t_seq")))
+
+
+@query()
+def q_consensus(spark, sf_dir):
+    """Consensus of piles: each source's texts, as bases, on its first text."""
+    sources = table(spark, sf_dir, "documents").select("doc_id", "source")
+    seqs = roles.bases(spark, sf_dir)
+    rows = sources.join(seqs, sources["doc_id"] == seqs["id"]).select(F.col("source").alias("stream"), F.lit(0).cast("long").alias("pile"), F.col("id").alias("ord"), F.col("id").cast("string").alias("read_id"), "sequence")
+    config = consensus.ConsensusConfig(min_cov=1, min_cov_aln=1, max_cov_aln=20, min_n_read=3, min_len_aln=1)
+    return consensus.pile_consensuses(consensus.piles(rows, config), config)
+
+
+def queries() -> dict[str, Query]:
+    return dict(_queries)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_sql)

@@ -6,14 +6,24 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterable, Sequence
+from typing import TYPE_CHECKING
 
 from pyspark.sql import DataFrame, SparkSession
 
+if TYPE_CHECKING:
+    import pandas as pd
+
 _shipped: dict[str, str] = {}
 
+#: Rows of an Arrow batch. Texts are long, and a batch is held by the JVM and by its Python worker at once.
+BATCH_ROWS = 1024
+
 
 def ship_package(spark: SparkSession) -> None:
-    """Send this package to the executors once per application, so Python workers can import it."""
+    """Send this package to the executors once per application, so Python workers can import it; see to small Arrow batches."""
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) in (0, 10000):  # the default: nobody chose a size
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     sc = spark.sparkContext
     if sc.applicationId in _shipped:
         return
@@ -52,3 +62,10 @@ def spill(df: DataFrame) -> DataFrame:
     path = f"{shared_dir(spark)}/strandmill-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def object_frame(rows: Iterable[Sequence], columns: Sequence[str]) -> pd.DataFrame:
+    """A frame for Arrow-batched functions whose text columns are plain Python strings, whatever pandas would infer."""
+    import pandas as pd  # only workers that use frames pay for it
+
+    return pd.DataFrame(list(rows), columns=list(columns), dtype=object)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from strandmill import schema
 from strandmill.functions.sequences import decode_edges, header_id, header_metadata, int_with_commas, parent_contig
-from strandmill.session import ship_package
+from strandmill.session import object_frame, ship_package
 
 FASTA_ENDINGS = (".fasta", ".fa", ".fasta.gz", ".fa.gz", ".fasta.bz2", ".fa.bz2")
 FASTQ_ENDINGS = (".fastq", ".fq", ".fastq.gz", ".fq.gz", ".fastq.bz2", ".fq.bz2")
@@ -68,7 +68,7 @@ def read_fastq(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
                     if lines[i][0] != "@":
                         raise ValueError(f"{path!r} is not a fastq file.")
                     rows.append((path, lines[i][1:].strip(), lines[i + 1].strip()))
-                yield pd.DataFrame(rows, columns=["file", "h", "s"])
+                yield object_frame(rows, ["file", "h", "s"])
 
     paths = [paths] if isinstance(paths, str) else list(paths)
     found = spark.read.format("binaryFile").load(paths).select("path", "content").mapInPandas(run, "file string, h string, s string")

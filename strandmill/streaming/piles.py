@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from strandmill.operators.consensus import MAX_READ
-from strandmill.session import ship_package
+from strandmill.session import object_frame, ship_package
 
 OUTPUT = "stream string, pile long, ord long, read_id string, sequence string"
 STATE = "pile long, ended boolean, ords array<long>, ids array<string>, sequences array<string>"
@@ -36,7 +36,7 @@ def _advance(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> I
             ids.append(read)
             sequences.append(sequence[: MAX_READ - 1] if len(sequence) > MAX_READ else sequence)
     state.update((pile, ended, ords, ids, sequences))
-    yield pd.DataFrame(out, columns=["stream", "pile", "ord", "read_id", "sequence"])
+    yield object_frame(out, ["stream", "pile", "ord", "read_id", "sequence"])
 
 
 def closed_piles(lines: DataFrame) -> DataFrame:
