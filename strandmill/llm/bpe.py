@@ -25,7 +25,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from tokenizers.pre_tokenizers import ByteLevel
 
-from strandmill.llm.textspans import CHUNK, texts_of
+from strandmill.llm.textspans import chunks, texts_of
 from strandmill.session import ship_package
 
 #: Below this code point Unicode versions agree about letters, numbers and spaces. Other texts are split by the library's own pre-tokenizer.
@@ -52,7 +52,7 @@ def _pattern() -> re.Pattern:
 PATTERN = _pattern()
 _BYTE_LEVEL = ByteLevel(add_prefix_space=False)
 #: Pre-tokens that a worker remembers; past that it forgets them all.
-CACHE = 800_000
+CACHE = 250_000
 
 
 def byte_letters() -> dict[str, int]:
@@ -79,14 +79,12 @@ class Vocabulary:
         for content, i in self.special.items():
             self.token[i] = content.encode()
         self.rank: dict[tuple[int, int], int] = {}
-        self.merged: dict[tuple[int, int], int] = {}
         self.made_at: dict[int, int] = {}
         self.halves: dict[int, tuple[int, int]] = {}
         for rank, pair in enumerate(model["merges"]):
             a, b = pair if isinstance(pair, list) else pair.split(" ")
             left, right, whole = ids[a], ids[b], ids[a + b]
             self.rank.setdefault((left, right), rank)
-            self.merged.setdefault((left, right), whole)
             if whole not in self.halves:
                 self.halves[whole] = (left, right)
                 self.made_at[whole] = rank
@@ -100,7 +98,7 @@ class Vocabulary:
         for i, raw in self.token.items():
             self.size[i] = len(raw)
         self.shorter: dict[int, int | None] = {}
-        self.compatible = functools.lru_cache(1 << 18)(self._compatible)
+        self.compatible = functools.lru_cache(1 << 16)(self._compatible)
         # Offset table: token i is bytes[start[i] : start[i] + length[i]].
         ordered = [self.token.get(i, b"") for i in range(max(self.token) + 1)]
         self.length = np.array([len(x) for x in ordered], np.int64)
@@ -230,16 +228,10 @@ def ship_vocabulary(docs: DataFrame, path: str) -> str:
 def _rows(batches: Iterator[pa.RecordBatch], make: Callable[[list[str]], dict]) -> Iterator[pa.RecordBatch]:
     """Batches of about a chunk of text, so that what is made of them stays small."""
     for batch in batches:
-        texts = texts_of(batch.column(1)).to_pylist()
-        low = 0
-        while low < len(texts):
-            high, size = low, 0
-            while high < len(texts) and (high == low or size + len(texts[high]) <= CHUNK):
-                size += len(texts[high])
-                high += 1
-            made = make(texts[low:high])
+        texts = texts_of(batch.column(1))
+        for low, high, *_ in chunks(texts):
+            made = make(texts.slice(low, high - low).to_pylist())
             yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0).slice(low, high - low).cast(pa.int64()), **made})
-            low = high
 
 
 ENCODED = "doc_id long, ids binary"

@@ -5,7 +5,7 @@ share of a text's characters lies inside duplicated windows of 5 to 10 words and
 
 Defined results: a null or blank text has no words and fails the base rule; a repeated row is a document of its
 own; other columns are ignored; an empty table gives no rows. Nothing is shuffled. Memory: about 100 bytes for
-every byte of the longest text, at least of a 1 MB chunk.
+every byte of the longest text, at least of a half-megabyte chunk.
 """
 
 from __future__ import annotations
@@ -105,10 +105,10 @@ def quality(docs: DataFrame) -> DataFrame:
 def _keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         kept = [_measure(data, offsets)["kept"] for *_, data, offsets in chunks(texts_of(batch.column(0)))]
-        yield batch.filter(pa.array(np.concatenate(kept) if kept else np.zeros(0, bool))).drop_columns(["m_text"])
+        yield batch.filter(pa.array(np.concatenate(kept) if kept else np.zeros(0, bool))).drop_columns(["__rules_text"])
 
 
 def drop_low_quality(docs: DataFrame) -> DataFrame:
     """The documents whose verdict is ``kept``, with the columns of ``docs``, in one pass without a shuffle."""
     ship_package(docs.sparkSession)
-    return docs.select(docs["text"].cast("string").alias("m_text"), "*").mapInArrow(_keep, docs.schema)
+    return docs.select(docs["text"].cast("string").alias("__rules_text"), "*").mapInArrow(_keep, docs.schema)
