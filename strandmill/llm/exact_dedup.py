@@ -87,8 +87,9 @@ def exact_dedup(docs: DataFrame, counters: int = COUNTERS) -> DataFrame:
 
 def drop_copies(docs: DataFrame, counters: int = COUNTERS) -> DataFrame:
     """The documents that stay, with the columns of ``docs``."""
-    kept = exact_dedup(docs, counters).filter("kept").select(F.col("doc_id").alias("k_id"), F.col("text_sha256").alias("k_digest"))
-    keyed = docs.withColumn("k_sha", F.sha2(normalised(F.col("text").cast("string")), 256))
-    met = keyed.join(kept, keyed["doc_id"].eqNullSafe(F.col("k_id")) & (F.col("k_sha") == F.col("k_digest")))
-    once = W.partitionBy("k_id", "k_digest").orderBy("k_sha")
-    return met.withColumn("k_nth", F.row_number().over(once)).filter("k_nth = 1").select(*docs.columns)
+    own = "__exact_"  # a prefix that no column of a corpus has
+    kept = exact_dedup(docs, counters).filter("kept").select(F.col("doc_id").alias(f"{own}id"), F.col("text_sha256").alias(f"{own}kept"))
+    keyed = docs.withColumn(f"{own}sha", F.sha2(normalised(docs["text"].cast("string")), 256))
+    met = keyed.join(kept, keyed["doc_id"].eqNullSafe(F.col(f"{own}id")) & (F.col(f"{own}sha") == F.col(f"{own}kept")))
+    once = W.partitionBy(f"{own}id", f"{own}kept").orderBy(f"{own}sha")
+    return met.withColumn(f"{own}nth", F.row_number().over(once)).filter(F.col(f"{own}nth") == 1).select(*docs.columns)

@@ -162,8 +162,9 @@ def repeat_documents(docs: DataFrame, **parameters) -> DataFrame:
 
     Only the documents at either end of a shard's run are taken in part, so whole documents keep the sources near their targets.
     """
+    own = "__mix_"  # a prefix that no column of a corpus has
     mixed = mix_sources(docs, **parameters).filter(F.col("taken") > 0)
-    copies = mixed.select(F.col("doc_id").alias("m_id"), F.round(F.col("taken") / F.col("size")).cast("int").alias("m_copies"))
-    copies = copies.filter("m_copies > 0").groupBy("m_id").agg(F.max("m_copies").alias("m_copies"))
-    joined = docs.join(copies, F.col("doc_id").eqNullSafe(F.col("m_id")))
-    return joined.withColumn("m_copy", F.explode(F.sequence(F.lit(1), F.col("m_copies")))).select(*docs.columns)
+    copies = mixed.select(F.col("doc_id").alias(f"{own}id"), F.round(F.col("taken") / F.col("size")).cast("int").alias(f"{own}copies"))
+    copies = copies.filter(F.col(f"{own}copies") > 0).groupBy(f"{own}id").agg(F.max(f"{own}copies").alias(f"{own}copies"))
+    joined = docs.join(copies, docs["doc_id"].eqNullSafe(F.col(f"{own}id")))
+    return joined.withColumn(f"{own}copy", F.explode(F.sequence(F.lit(1), F.col(f"{own}copies")))).select(*docs.columns)

@@ -25,8 +25,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from strandmill.llm.components import connected_components
 from strandmill.llm.textspans import texts_of
+from strandmill.operators.components import connected_components
 from strandmill.session import settle, ship_package
 
 SEED = 42
@@ -202,5 +202,5 @@ def near_dedup(docs: DataFrame) -> DataFrame:
 def drop_near_copies(docs: DataFrame) -> DataFrame:
     """Of every component the documents with its smallest doc_id, with the columns of ``docs``."""
     found = near_dedup(docs)
-    kept = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("k_id")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("k_id")), "left_semi")
+    kept = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__near_id")).distinct()
+    return docs.join(kept, docs["doc_id"].eqNullSafe(F.col("__near_id")), "left_semi")
