@@ -298,6 +298,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, k: int = K, crowd: int
     else:
         texts = spill(slim.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text"))
 
+    # Both joins of the texts below take the same columns and the same filter, so that one exchange serves them.
+    texts = texts.filter("row IS NOT NULL")
     anchors = spill(texts.select("row", "text").mapInArrow(_scan(length, k), ANCHORS))
     twice = anchors.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h")
     live = spill(anchors.join(twice, "h", "left_semi"))
@@ -309,7 +311,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, k: int = K, crowd: int
 
     def asked(some: DataFrame) -> DataFrame:
         wanted = some.groupBy("row").agg(F.collect_list(F.struct("h", "c", "start", "meta", "n")).alias("asked"))
-        return texts.join(wanted, "row").select("text", "asked")
+        return texts.join(wanted, "row").select("text", "asked", "doc_id")
 
     blocks = asked(runs.join(crowds, "h", "left_anti")).mapInArrow(_sorted_runs(length, parts), "part int, block binary")
     sorted_extents = blocks.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(_merge_parts(length, k), "h long, c long, found array<int>")
