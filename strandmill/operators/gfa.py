@@ -30,7 +30,7 @@ class GfaGraph:
 def _checked(df: DataFrame, first: str, rules: list[tuple[Column, str]]) -> DataFrame:
     """Reading ``first`` of a row that breaks a rule raises."""
     value = F.col(first)
-    for broken, message in rules:
+    for broken, message in reversed(rules):
         value = F.when(F.coalesce(broken, F.lit(True)), F.raise_error(F.lit(message)).cast("string")).otherwise(value)
     return df.withColumn(first, value)
 

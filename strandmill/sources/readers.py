@@ -33,8 +33,10 @@ def read_fasta(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     for p in paths:
         if p.endswith(".dexta"):
             raise ValueError(f"{p}: this compression needs an external tool and isn't read")
-    rows = spark.read.option("lineSep", ">").text(paths).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value")
-    # What a file has before its first ``>`` comes as a row of its own only if it isn't empty, and only at the file's start.
+        first = spark.read.option("lineSep", ">").text(p).first()
+        if first is not None and first[0].strip():
+            raise ValueError(f"Invalid FASTA file {p!r}: it begins with {first[0].strip()[:40]!r}")
+    rows = spark.read.option("lineSep", ">").text(paths).select(F.col("_metadata.file_path").alias("file"), "value")
     parts = F.split("value", "\n", 2)
     name = F.regexp_replace(parts[0], r"\s+$", "")
     body = F.regexp_replace(F.coalesce(F.try_element_at(parts, F.lit(2)), F.lit("")), r"\s+", "")
