@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandmill.llm import bpe, chat, exact_dedup, licenses, mixing, quality, simhash, suffix_dedup, token_counts
+from strandmill.llm import bpe, chat, exact_dedup, fuzzy_passages, licenses, mixing, quality, simhash, suffix_dedup, token_counts
 
 VOCABULARY = "byte_bpe_50k.json"
 OWN_CHAT = "</s>[INST] ok [/INST]"
@@ -83,6 +83,10 @@ FROM t GROUP BY conv_id
 """
 
 
+def op6_fuzzy_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fuzzy_passages.shared_passages(table(spark, sf_dir, "documents"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -111,6 +115,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_quality": op3_quality,
         "op4_bpe": op4_bpe,
         "op5_token_counts": op5_token_counts,
+        "op6_fuzzy_passages": op6_fuzzy_passages,
         "op7_chat": op7_chat,
         "op8_exact_dedup": op8_exact_dedup,
         "op9_simhash": op9_simhash,
