@@ -18,6 +18,7 @@ _shipped: dict[str, str] = {}
 
 #: Rows of an Arrow batch. Texts are long, and a batch is held by the JVM and by its Python worker at once.
 BATCH_ROWS = 1024
+FILES_PER_CORE = 8
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -50,17 +51,22 @@ def shared_dir(spark: SparkSession) -> str:
     return configured
 
 
+def few_files(df: DataFrame) -> DataFrame:
+    """At most ``FILES_PER_CORE`` partitions for each core: intermediate tables are small, and every file costs a few system calls and processes."""
+    return df.coalesce(FILES_PER_CORE * df.sparkSession.sparkContext.defaultParallelism)
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared folder: later steps reread it, and a lost executor loses nothing."""
     shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return few_files(df).checkpoint(eager=True)
 
 
 def spill(df: DataFrame) -> DataFrame:
     """Like :func:`settle`, but as a compressed Parquet table in the shared folder: for large intermediate tables."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/strandmill-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    few_files(df).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
