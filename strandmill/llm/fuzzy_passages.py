@@ -2,11 +2,12 @@
 
 1. Seeds: hashes of five words, thinned by winnowing: of every ``WINDOW`` neighbouring seeds the smallest one is kept, so any 20 words
    in a row that two documents share give them a common seed. Seeds that occur once are dropped by a count combined map-side.
-2. Partners: each occurrence of a seed is joined with the seed's first document, and with the first document that goes on with the same 40
+2. Partners: each occurrence of a seed is joined with the seed's first document, and with the first document that goes on with the same 45
    words. These are stars, not pairs: their number grows with the occurrences, and who shares a passage is linked through its first document.
-3. Chains: the matches of two documents are chained in order of both, with gap costs, through a Fenwick tree.
+3. Chains: the matches of two documents are chained in order of both, with gap costs, through a Fenwick tree. A chain of one seed counts
+   only if 15 words ahead of it or behind it are alike, too.
 4. Alignment: each chain is aligned word by word outwards from its seeds, a match earning 1 and an edit costing 4, until the score falls
-   ``DROP`` below its best. What is left is a passage if it is ``MIN_WORDS`` long on both sides: its similarity is 0.8 or more.
+   ``DROP`` below its best. What is left is a passage if it is ``MIN_WORDS`` long on both sides and its similarity is 0.8 or more.
 
 Defined results: a null text is empty; texts shorter than ``MIN_WORDS`` words have no passages; a repeated row is a document of its own;
 null or repeated ids are replaced by row numbers inside; other columns are ignored; an empty table gives no rows. Passages are
@@ -28,7 +29,8 @@ from strandmill.session import ship_package, spill
 
 SHINGLE = 5
 WINDOW = 16
-CONTEXT = 40
+#: Words of a seed's contexts, seed included: far ahead, near ahead and near behind; their hashes share 64 bits (24, 20 and 20).
+FAR, NEAR = 45, 15
 MIN_WORDS = 50
 MIN_SIMILARITY = 0.8
 EDIT_COST = 4
@@ -61,27 +63,33 @@ def _fold(words: np.ndarray, n: int) -> np.ndarray:
 
 
 def _seeds(words: np.ndarray, text: np.ndarray, n_texts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Hash, hash with its context, text, and place in its text of the seeds that winnowing keeps."""
+    """Hash, contexts, text, and place in its text of the seeds that winnowing keeps."""
     empty = np.zeros(0, np.int64)
     if len(words) < SHINGLE + WINDOW - 1:
         return empty, empty, empty, empty
     h = _fold(words, SHINGLE)
-    inside = text[: len(h)] == text[SHINGLE - 1 :]
-    # A seed that crosses a border is never the smallest. Windows are kept where all of their seeds are inside one text.
-    value = np.where(inside, h >> np.uint64(1), np.uint64((1 << 64) - 1))
-    views = np.lib.stride_tricks.sliding_window_view(value, WINDOW)
-    whole = text[: len(views)] == text[SHINGLE + WINDOW - 2 :]
-    low = np.flatnonzero(whole)
+    views = np.lib.stride_tricks.sliding_window_view(h, WINDOW)
+    low = np.flatnonzero(text[: len(views)] == text[SHINGLE + WINDOW - 2 :])  # windows inside one text
     step = 1 << 16
     picks = [low[i : i + step] + np.argmin(views[low[i : i + step]], axis=1) for i in range(0, len(low), step)]
     at = np.unique(np.concatenate(picks)) if picks else empty
+    if len(at) > 1:
+        # Of a run of the same words only the first place and every WINDOW-th is told.
+        same = np.concatenate([[False], (h[at[1:]] == h[at[:-1]]) & (at[1:] == at[:-1] + 1)])
+        at = at[~same | (at % WINDOW == 0)]
     first = np.searchsorted(text, np.arange(n_texts))
-    c = np.zeros(len(at), np.uint64)
-    if len(words) >= CONTEXT:
-        wide = _fold(words, CONTEXT)
-        ahead = np.minimum(at, len(wide) - 1)
-        good = (at < len(wide)) & (text[at] == text[np.minimum(at + CONTEXT - 1, len(text) - 1)])
-        c = np.where(good, wide[ahead], np.uint64(0))
+
+    def context(n: int, shift: int, bits: int) -> np.ndarray:
+        """Hash of n words from each seed on (shift 0) or up to its end, in so many bits, never 0; 0 where the text has fewer."""
+        if len(words) < n or not len(at):
+            return np.zeros(len(at), np.uint64)
+        begin = at - shift
+        inside = (begin >= 0) & (begin + n <= len(words))
+        begin = np.clip(begin, 0, len(words) - n)
+        inside &= text[begin] == text[begin + n - 1]
+        return np.where(inside, (_fold(words, n)[begin] >> np.uint64(64 - bits)) | np.uint64(1), np.uint64(0))
+
+    c = context(FAR, 0, 24) << np.uint64(40) | context(NEAR, 0, 20) << np.uint64(20) | context(NEAR, NEAR - SHINGLE, 20)
     return h[at], c, text[at], at - first[text[at]]
 
 
@@ -97,15 +105,18 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _chain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(row, hub, matches) -> one row for each chain, its matches as x, y pairs."""
+    """(row, hub, matches) -> one row for each chain that may be a passage, its matches as x, y pairs."""
     for batch in batches:
         row, hub, out = batch.column(0).to_pylist(), batch.column(1).to_pylist(), []
         for i in range(batch.num_rows):
             listed = batch.column(2)[i].values
-            matches = sorted(set(zip(listed.field(0).to_pylist(), listed.field(1).to_pylist(), strict=True)))
+            near: dict[tuple[int, int], bool] = {}
+            for x, y, alike in zip(*[listed.field(k).to_pylist() for k in range(3)], strict=True):
+                near[x, y] = near.get((x, y), False) or alike
+            matches = sorted(near)
             for chain in chains(matches, SHINGLE, GAP):
-                x, y = [matches[k][0] for k in chain], [matches[k][1] for k in chain]
-                out.append((row[i], hub[i], x, y))
+                if len(chain) > 1 or near[matches[chain[0]]]:
+                    out.append((row[i], hub[i], [matches[k][0] for k in chain], [matches[k][1] for k in chain]))
         yield pa.RecordBatch.from_pydict(
             {
                 "row": pa.array([o[0] for o in out], pa.int64()), "hub": pa.array([o[1] for o in out], pa.int64()),
@@ -158,51 +169,57 @@ def _run_length(a: np.ndarray, b: np.ndarray, i: int, j: int) -> int:
         size = min(size * 4, 4096)
 
 
-def extend(a: np.ndarray, b: np.ndarray, i: int, j: int) -> tuple[int, int, int, int]:
+def _anchors(words: np.ndarray) -> np.ndarray:
+    """Hashes of ``ANCHOR`` words from each place on."""
+    wide, n = words.astype(np.uint64), max(len(words) - ANCHOR + 1, 0)
+    out = np.zeros(n, np.uint64)
+    for k in range(ANCHOR):
+        out = out * np.uint64(0x9E3779B97F4A7C15) + wide[k : k + n]
+    return out
+
+
+class Side:
+    """Words of one text, with their anchors, in one direction."""
+
+    def __init__(self, words: np.ndarray):
+        self.words, self.anchors = words, _anchors(words)
+
+
+def extend(a: Side, b: Side, i: int, j: int) -> tuple[int, int, int, int]:
     """How far both texts go on alike from i and j: words of a, words of b, matches and edits, at the best score.
 
-    After words that differ, the texts are put together again where ``ANCHOR`` words are alike at the least cost within ``LOOK`` words.
+    After words that differ, the texts are put together again where ``ANCHOR`` words are alike, within ``LOOK`` words, at the
+    least cost: the larger number of words skipped on a side.
     """
     best = (0, 0, 0, 0)
     top = score = matches = edits = 0
     x, y = i, j
     while True:
-        run = _run_length(a, b, x, y)
+        run = _run_length(a.words, b.words, x, y)
         x, y, matches, score = x + run, y + run, matches + run, score + run
         if score > top:
             top, best = score, (x - i, y - j, matches, edits)
-        if x >= len(a) or y >= len(b):
+        p, q = a.anchors[x : x + LOOK + 1], b.anchors[y : y + LOOK + 1]
+        u, v = np.nonzero(p[:, None] == q[None, :])
+        if not len(u):
             return best
-        p, q = a[x : x + LOOK + ANCHOR], b[y : y + LOOK + ANCHOR]
-        found = None
-        for cost in range(1, LOOK + 1):
-            if score - EDIT_COST * cost < top - DROP:
-                return best
-            # cost is the larger of the words skipped on both sides
-            for u, v in [(cost, k) for k in range(cost, -1, -1)] + [(k, cost) for k in range(cost - 1, -1, -1)]:
-                if u + ANCHOR <= len(p) and v + ANCHOR <= len(q) and (p[u : u + ANCHOR] == q[v : v + ANCHOR]).all():
-                    found = (u, v)
-                    break
-            if found:
-                break
-        if not found:
+        cost = np.maximum(u, v)
+        k = int(np.argmin(cost * 64 + u + v))
+        step = int(cost[k])
+        if score - EDIT_COST * step < top - DROP:
             return best
-        x, y = x + found[0], y + found[1]
-        edits += max(found)
-        score -= EDIT_COST * max(found)
+        x, y, edits, score = x + int(u[k]), y + int(v[k]), edits + step, score - EDIT_COST * step
 
 
 def passages(a: np.ndarray, b: np.ndarray, x: Sequence[int], y: Sequence[int]) -> Iterator[tuple[int, int, int, int, int, int]]:
     """(begin, end in a, begin, end in b, matches, edits) of the passages along a chain of seeds at x in a and y in b."""
     done = (-1, -1)
-    back_a, back_b = a[::-1], b[::-1]
+    ahead, behind = (Side(a), Side(b)), (Side(a[::-1]), Side(b[::-1]))
     for i, j in zip(x, y, strict=True):
-        if i < done[0] or j < done[1]:
-            continue
-        if _run_length(a, b, i, j) < SHINGLE:
+        if i < done[0] or j < done[1] or _run_length(a, b, i, j) < SHINGLE:
             continue
-        right = extend(a, b, i, j)
-        left = extend(back_a, back_b, len(a) - i, len(b) - j)
+        right = extend(*ahead, i, j)
+        left = extend(*behind, len(a) - i, len(b) - j)
         begin_a, end_a, begin_b, end_b = i - left[0], i + right[0], j - left[1], j + right[1]
         done = (end_a, end_b)
         matches, edits = left[2] + right[2], left[3] + right[3]
@@ -253,11 +270,20 @@ def shared_passages(docs: DataFrame) -> DataFrame:
     scan = texts.mapInArrow(_scan, "h long, c long, row long, at int")
     twice = scan.groupBy("h").agg(F.min("row").alias("a"), F.max("row").alias("b")).filter("a <> b").select("h")
     seeds = spill(scan.join(twice, "h", "left_semi"))
-    first = seeds.groupBy("h").agg(F.min("row").alias("hub"), F.min_by("at", F.struct("row", "at")).alias("hub_at"))
-    same = seeds.filter("c <> 0").groupBy("h", "c").agg(F.min("row").alias("hub"), F.min_by("at", F.struct("row", "at")).alias("hub_at"))
-    stars = seeds.join(first, "h").select("row", "at", "hub", "hub_at")
-    stars = stars.unionByName(seeds.join(same, ["h", "c"]).select("row", "at", "hub", "hub_at")).filter("row <> hub")
-    matched = stars.groupBy("row", "hub").agg(F.collect_set(F.struct("at", "hub_at")).alias("matches"))
+    place = F.struct("at", "c")
+    first = seeds.groupBy("h").agg(F.min("row").alias("hub"), F.min_by(place, F.struct("row", "at")).alias("there"))
+    far = F.shiftrightunsigned("c", 40).alias("far")
+    wide = seeds.select("h", far, "row", "at", "c").filter("far <> 0")
+    same = wide.groupBy("h", "far").agg(F.min("row").alias("hub"), F.min_by(place, F.struct("row", "at")).alias("there"))
+    stars = seeds.join(first, "h").select("row", "at", "c", "hub", "there")
+    stars = stars.unionByName(wide.join(same, ["h", "far"]).select("row", "at", "c", "hub", "there")).filter("row <> hub")
+    part = lambda c, shift, bits: F.shiftrightunsigned(c, shift).bitwiseAND(F.lit((1 << bits) - 1).cast("long"))
+    alike = lambda shift, bits: (part("c", shift, bits) != 0) & (part("c", shift, bits) == part("there.c", shift, bits))
+    near = alike(40, 24) | alike(20, 20) | alike(0, 20)
+    matched = stars.select("row", "hub", F.struct("at", F.col("there.at").alias("hub_at"), near.alias("near")).alias("m"))
+    matched = matched.groupBy("row", "hub").agg(F.collect_set("m").alias("matches")).filter(
+        (F.size("matches") > 1) | F.exists("matches", lambda m: m["near"])
+    )
     chained = spill(matched.mapInArrow(_chain, "row long, hub long, x array<int>, y array<int>"))
     asked = chained.groupBy("row").agg(F.collect_list(F.struct("hub", "row", "x", "y")).alias("chains"))
     cut = texts.join(asked, "row").select("text", "chains", "row").mapInArrow(_cut_out, "hub long, row long, x array<int>, y array<int>, begin int, words binary")
