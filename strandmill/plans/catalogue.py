@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from strandmill.functions import sequences as S
@@ -419,8 +420,6 @@ def q_subpath(spark, sf_dir):
 
 @query("""SELECT user_id, event_id AS ord, max(CASE WHEN event_type = 'click' THEN event_id END) OVER (PARTITION BY user_id ORDER BY event_id) AS id FROM events""")
 def q_carry_forward(spark, sf_dir):
-    from pyspark.sql import Window as W
-
     w = W.partitionBy("user_id").orderBy("event_id").rowsBetween(W.unboundedPreceding, W.currentRow)
     return table(spark, sf_dir, "events").select("user_id", F.col("event_id").alias("ord"), F.last(F.when(F.col("event_type") == "click", F.col("event_id")), ignorenulls=True).over(w).alias("id"))
 
@@ -572,6 +571,99 @@ def q_gfa2_lines(spark, sf_dir):
     return gfa.gfa2_lines(_gfa(spark, sf_dir))
 
 
+# -- joins around sequences, maps and contigs ---------------------------------------------------------------------
+
+_OC = list(roles.OVERLAP_EXPRESSIONS)
+_TURNED = ["t_id AS q_id", "q_id AS t_id", "score", "identity", "t_strand AS q_strand", "t_s AS q_s", "t_e AS q_e", "t_l AS q_l", "q_strand AS t_strand", "q_s AS t_s", "q_e AS t_e", "q_l AS t_l", "tag"]
+
+
+def _ordered_overlaps(spark, sf_dir):
+    """Overlaps with a total order over all columns, within each pair of reads."""
+    rows = roles.overlaps(spark, sf_dir)
+    w = W.partitionBy(F.least("q_id", "t_id"), F.greatest("q_id", "t_id")).orderBy(*[F.col(c).cast("string") for c in rows.columns])
+    return rows.withColumn("ord", F.row_number().over(w).cast("long"))
+
+
+@query(f"""WITH {OVERLAPS_SQL}, o AS (SELECT *, row_number() OVER (PARTITION BY least(q_id, t_id), greatest(q_id, t_id) ORDER BY {_TEXT}) AS ord FROM ovl),
+b AS (SELECT {", ".join(_OC)}, 0 AS turned, -ord AS rnk FROM o UNION ALL SELECT {", ".join(_TURNED)}, 1, ord FROM o),
+n AS (SELECT *, row_number() OVER (PARTITION BY q_id, t_id ORDER BY turned, rnk) AS nth FROM b) SELECT {", ".join(_OC)} FROM n WHERE nth = 1""")
+def q_pread_pairs(spark, sf_dir):
+    return gfa.pread_overlap_pairs(_ordered_overlaps(spark, sf_dir), "ord")
+
+
+_TIGS = "lpad(cast(o_orderkey % 500 as string), 6, '0') || 'F-' || cast(o_custkey % 3 as string) || '_1'"
+
+
+@query(f"""WITH c AS (SELECT {_TIGS} AS ctg_id FROM orders), w AS (SELECT DISTINCT lpad(cast(p_partkey as string), 6, '0') || 'F' AS ctg_id FROM part WHERE p_size < 10)
+SELECT ctg_id FROM c WHERE split_part(split_part(ctg_id, '-', 1), '_', 1) IN (SELECT ctg_id FROM w)""")
+def q_whitelist(spark, sf_dir):
+    contigs = table(spark, sf_dir, "orders").selectExpr(f"{_TIGS} AS ctg_id")
+    listed = table(spark, sf_dir, "part").filter("p_size < 10").selectExpr("lpad(cast(p_partkey as string), 6, '0') || 'F' AS ctg_id")
+    return readers.whitelisted(contigs, listed, by_parent=True)
+
+
+_CONTIG = "lpad(cast(item_id as string), 6, '0') || CASE WHEN item_id % 5 = 0 THEN '' ELSE 'F' END"
+CONTIGS_SQL = f"c AS (SELECT {_CONTIG} AS id, text AS sequence FROM benchmark)"
+
+
+def _contigs(spark, sf_dir):
+    return table(spark, sf_dir, "benchmark").selectExpr(f"{_CONTIG} AS id", "text AS sequence")
+
+
+@query(f"""WITH {OVERLAPS_SQL}, {RANK_SQL}, {CONTIGS_SQL}, hits AS (SELECT split_part(ctg, '-', 1) AS ctg, 2 * count(*) AS n FROM rk WHERE rank = 0 GROUP BY 1)
+SELECT id AS ctg_id FROM c JOIN hits ON ctg = id WHERE n >= 5 AND length(sequence) >= 100 AND (id LIKE '%F' OR id LIKE '%R')""")
+def q_listed_contigs(spark, sf_dir):
+    tracks = tracking.track_reads(roles.overlaps(spark, sf_dir), roles.read_map(spark, sf_dir), 2500, 5)
+    return tracking.listed_contigs(_contigs(spark, sf_dir), tracking.contig_hits(tracks, tracks), 100)
+
+
+@query(f"""WITH {OVERLAPS_SQL}, {RANK_SQL}, {CHAIN_IDS_SQL}, {CONTIGS_SQL}, best AS (SELECT cast(bread as bigint) AS id, split_part(ctg, '-', 1) AS ctg FROM rk WHERE rank = 0),
+both_ AS (SELECT raw.name AS oid, ctg, 0 AS source, id FROM best JOIN raw ON raw.ord = id UNION ALL SELECT oid, ctg, 1, id FROM best JOIN ids ON pid = id),
+last AS (SELECT *, row_number() OVER (PARTITION BY oid ORDER BY source DESC, id DESC) AS nth FROM both_)
+SELECT raw.name AS id, coalesce(c.id, 'unassigned') AS ctg FROM raw LEFT JOIN (SELECT * FROM last WHERE nth = 1) l ON l.oid = raw.name LEFT JOIN c ON c.id = l.ctg AND length(c.sequence) >= 100""")
+def q_partition_reads(spark, sf_dir):
+    _, raw = _id_tables(spark, sf_dir)
+    reads = raw.select(F.col("name").alias("id"))
+    return tracking.partition_reads(reads, q_read_assignments(spark, sf_dir), _contigs(spark, sf_dir), 100)
+
+
+@query(f"""WITH {COORD_SQL}, {NODES_SQL}, m AS (SELECT node, string_agg(ctg_id, ' ' ORDER BY ctg_id) AS ctgs FROM (SELECT DISTINCT node, ctg_id FROM member) x GROUP BY node),
+n AS (SELECT ctg_id, ord, w AS node, w_coord AS coord FROM loc UNION ALL SELECT ctg_id, 0, v, 0 FROM loc WHERE ord = 1)
+SELECT n.ctg_id, cast(ord as int) AS ord, n.node, coord, coalesce(ctgs, '') AS ctgs FROM n LEFT JOIN m ON m.node = n.node""")
+def q_annotated_path(spark, sf_dir):
+    return tracking.annotated_path(_located(spark, sf_dir), _members(spark, sf_dir))
+
+
+_LAS = "'raw.' || cast(l_orderkey % 60 as string) || '.raw.' || cast(l_orderkey as string) || '.' || cast(l_linenumber as string) || '.las'"
+
+
+@query(f"SELECT cast(regexp_extract(f, '[.]([0-9]+)[.]', 1) as bigint) AS block, string_agg(f, ' ' ORDER BY f) AS files FROM (SELECT {_LAS} AS f FROM lineitem) x GROUP BY 1")
+def q_las_blocks(spark, sf_dir):
+    return readers.las_blocks(table(spark, sf_dir, "lineitem").selectExpr(f"{_LAS} AS file")).select("block", F.array_join("files", " ").alias("files"))
+
+
+_CODE = " + ".join(f"(strpos('ACGT', substr(kmer, {i + 1}, 1)) - 1) * {4 ** (7 - i)}" for i in range(8))
+
+
+@query(f"WITH {ITEMS_SQL}, {KMER_SQL} SELECT DISTINCT kmer, cast({_CODE} as bigint) AS code FROM km")
+def q_kmer_codes(spark, sf_dir):
+    return align.kmer_table(_items(spark, sf_dir), 8).select("kmer").distinct().select("kmer", S.kmer_code(F.col("kmer")).alias("code"))
+
+
+@query(f"""WITH {BASES_SQL}, e AS (SELECT id, sequence, cast(id % 50 as int) AS sp, cast(id * 7 % 120 as int) AS tp FROM seq)
+SELECT id, CASE WHEN sp <= tp THEN substr(sequence, sp + 1, tp - sp) ELSE reverse(translate(substr(sequence, tp + 1, sp - tp), 'ACGT', 'TGCA')) END AS piece FROM e""")
+def q_edge_slices(spark, sf_dir):
+    seqs = roles.bases(spark, sf_dir).withColumn("sp", (F.col("id") % 50).cast("int")).withColumn("tp", (F.col("id") * 7 % 120).cast("int"))
+    return seqs.select("id", S.slice_sequence(F.col("sequence"), F.col("sp"), F.col("tp")).alias("piece"))
+
+
+@query(f"""WITH {OVERLAPS_SQL} SELECT q_id, t_id, t_strand, CASE WHEN t_strand = 1 THEN t_l - t_e ELSE t_s END AS t_begin, CASE WHEN t_strand = 1 THEN t_l - t_s ELSE t_e END AS t_end FROM ovl""")
+def q_forward_coordinates(spark, sf_dir):
+    rows = roles.overlaps(spark, sf_dir)
+    flip = S.flip_interval(F.col("t_s"), F.col("t_e"), F.col("t_l"), F.col("t_strand"))
+    return rows.select("q_id", "t_id", "t_strand", flip["begin"].alias("t_begin"), flip["end"].alias("t_end"))
+
+
 # -- sequential algorithms: rows only ---------------------------------------------------------------------------------
 
 
