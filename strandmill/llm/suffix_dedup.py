@@ -301,7 +301,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, k: int = K, crowd: int
     # Both joins of the texts below take the same columns and the same filter, so that one exchange serves them.
     texts = texts.filter("row IS NOT NULL")
     anchors = spill(texts.select("row", "text").mapInArrow(_scan(length, k), ANCHORS))
-    twice = anchors.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h")
+    # Written first, so that the join has plain exchanges on both sides and a hot anchor's rows can be split.
+    twice = spill(anchors.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h"))
     live = spill(anchors.join(twice, "h", "left_semi"))
     runs = spill(
         live.groupBy("h", "c").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("row", "start", "meta")).alias("at")).select("h", "c", "n", "at.*")
