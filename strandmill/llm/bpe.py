@@ -52,7 +52,7 @@ def _pattern() -> re.Pattern:
 PATTERN = _pattern()
 _BYTE_LEVEL = ByteLevel(add_prefix_space=False)
 #: Pre-tokens that a worker remembers; past that it forgets them all.
-CACHE = 250_000
+CACHE = 500_000
 
 
 def byte_letters() -> dict[str, int]:
