@@ -193,7 +193,8 @@ def near_dedup(docs: DataFrame) -> DataFrame:
     classed = settle(
         rows.join(labels, rows["fp"] == labels["node"], "left").select("doc_id", "fp", F.coalesce("label", "fp").alias("class"))
     )
-    lowest = classed.groupBy(F.col("class").alias("c_class")).agg(F.min("doc_id").alias("component_id"))
+    # Settled first: the join then has plain exchanges on both sides, and a hot class's rows can be split.
+    lowest = settle(classed.groupBy(F.col("class").alias("c_class")).agg(F.min("doc_id").alias("component_id")))
     return classed.join(lowest, F.col("class") == F.col("c_class"), "left").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
