@@ -9,8 +9,9 @@
    Many documents with the same text but for a few words would each be joined with many others. So a document's chain is left out where
    a larger one of its chains runs over its place (seeds less than ``SOLID`` words apart over ``MIN_WORDS`` words or more) and both
    partners have such a chain over that place with each other: all three stay linked.
-4. Alignment: each chain is aligned word by word outwards from its seeds, a match earning 1 and an edit costing 4, until the score falls
-   ``DROP`` below its best. What is left is a passage if it is ``MIN_WORDS`` long on both sides and its similarity is 0.8 or more.
+4. Alignment: each chain is aligned word by word, a match earning 1 and an edit costing 4: the gaps between its seeds as a whole, and outwards
+   from its ends until the score falls ``DROP`` below its best. The longest stretch that is ``MIN_WORDS`` long on both sides with a similarity
+   of 0.8 or more is a passage, and so are such stretches before and after it.
 
 Defined results: a null text is empty; texts shorter than ``MIN_WORDS`` words have no passages; a repeated row is a document of its own;
 null or repeated ids are replaced by row numbers inside; other columns are ignored; an empty table gives no rows. Passages are
@@ -19,7 +20,6 @@ between documents; what repeats inside one is left to the quality rules.
 
 from __future__ import annotations
 
-import bisect
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -38,10 +38,12 @@ FAR, NEAR = 45, 15
 MIN_WORDS = 50
 MIN_SIMILARITY = 0.8
 EDIT_COST = 4
-DROP = 24
+DROP = 48
 #: Words that an alignment looks ahead for where both texts go on alike, and words that must be alike there.
 LOOK = 12
 ANCHOR = 3
+#: Gaps between the seeds of a chain are aligned whole up to so many words; a wider one counts as edits.
+WIDEST = 128
 #: Words on either side of a chain that are brought along for its alignment; a chain that grows up to there is aligned as far.
 MARGIN = 512
 GAP = 0.02
@@ -254,17 +256,19 @@ class Side:
         self.words, self.anchors = words, _anchors(words)
 
 
-def extend(a: Side, b: Side, i: int, j: int) -> tuple[int, int, int, int]:
+def extend(a: Side, b: Side, i: int, j: int, runs: list[tuple[int, int, int]] | None = None) -> tuple[int, int, int, int]:
     """How far both texts go on alike from i and j: words of a, words of b, matches and edits, at the best score.
 
     After words that differ, the texts are put together again where ``ANCHOR`` words are alike, within ``LOOK`` words, at the
-    least cost: the larger number of words skipped on a side.
+    least cost: the larger number of words skipped on a side. All runs of like words up to the drop are added to ``runs``.
     """
     best = (0, 0, 0, 0)
     top = score = matches = edits = 0
     x, y = i, j
     while True:
         run = _run_length(a.words, b.words, x, y)
+        if run and runs is not None:
+            runs.append((x, y, run))
         x, y, matches, score = x + run, y + run, matches + run, score + run
         if score > top:
             top, best = score, (x - i, y - j, matches, edits)
@@ -280,31 +284,132 @@ def extend(a: Side, b: Side, i: int, j: int) -> tuple[int, int, int, int]:
         x, y, edits, score = x + int(u[k]), y + int(v[k]), edits + step, score - EDIT_COST * step
 
 
+def _between(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int, int]]:
+    """Runs of like words of the best alignment of all of a with all of b."""
+    m, n = len(a), len(b)
+    if not m or not n or m == n == 1 or max(m, n) > WIDEST:
+        return []
+    ramp = EDIT_COST * np.arange(n + 1)
+    table = np.empty((m + 1, n + 1), np.int64)
+    table[0] = ramp
+    for i in range(m):
+        before, row = table[i], table[i + 1]
+        row[0] = before[0] + EDIT_COST
+        np.minimum(before[1:] + EDIT_COST, before[:-1] + np.where(b == a[i], -1, EDIT_COST), out=row[1:])
+        row -= ramp
+        np.minimum.accumulate(row, out=row)
+        row += ramp
+    cost, out, i, j = table.tolist(), [], m, n
+    while i and j:
+        if a[i - 1] == b[j - 1] and cost[i][j] == cost[i - 1][j - 1] - 1:
+            i, j = i - 1, j - 1
+            out.append((i, j, 1))
+        elif cost[i][j] == cost[i - 1][j - 1] + EDIT_COST:
+            i, j = i - 1, j - 1
+        elif cost[i][j] == cost[i - 1][j] + EDIT_COST:
+            i -= 1
+        else:
+            j -= 1
+    return out[::-1]
+
+
+def _path(ahead: tuple[Side, Side], behind: tuple[Side, Side], seeds: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
+    """Runs of like words (begin in a, begin in b, words) of one chain: outwards from its ends, and gaps between its seeds aligned."""
+    a, b = ahead[0].words, ahead[1].words
+    runs: list[tuple[int, int, int]] = []
+    i, j = seeds[0]
+    extend(*behind, len(a) - i, len(b) - j, runs)
+    found = [(len(a) - x - n, len(b) - y - n, n) for x, y, n in reversed(runs)]
+    x, y = i, j
+    for i, j in seeds:
+        over = max(x - i, y - j, 0)
+        if over >= SHINGLE or not (run := _run_length(a, b, i + over, j + over)):
+            continue
+        i, j = i + over, j + over
+        back = _run_length(a[x:i][::-1], b[y:j][::-1], 0, 0)
+        found += [(x + u, y + v, n) for u, v, n in _between(a[x : i - back], b[y : j - back])]
+        found.append((i - back, j - back, run + back))
+        x, y = i + run, j + run
+    runs = []
+    extend(*ahead, x, y, runs)
+    joined: list[tuple[int, int, int]] = []
+    for i, j, n in found + runs:
+        if joined and joined[-1][0] + joined[-1][2] == i and joined[-1][1] + joined[-1][2] == j:
+            joined[-1] = (*joined[-1][:2], joined[-1][2] + n)
+        else:
+            joined.append((i, j, n))
+    return joined
+
+
+def _stretches(runs: list[tuple[int, int, int]]) -> Iterator[tuple[int, int, int, int, int, int]]:
+    """The longest stretch of ``MIN_WORDS`` words and ``MIN_SIMILARITY``, and those before and after it, as passages.
+
+    Its ends are cut off as far as they are less than half alike, if ``MIN_WORDS`` words are left.
+    """
+    if not runs or min(runs[-1][k] + runs[-1][2] - runs[0][k] for k in (0, 1)) < MIN_WORDS:
+        return
+    # Up to the begin and the end of each run: matches and edits.
+    matches, edits, ends = [0], [0], []
+    for before, (x, y, n) in zip([None, *runs], runs, strict=False):
+        if before:
+            edits.append(edits[-1] + max(x - before[0] - before[2], y - before[1] - before[2]))
+        matches.append(matches[-1] + n)
+        ends.append(matches[-1])
+    low = [(1 - MIN_SIMILARITY) * m - MIN_SIMILARITY * e for m, e in zip(matches, edits, strict=False)]
+    high = [(1 - MIN_SIMILARITY) * m - MIN_SIMILARITY * e for m, e in zip(ends, edits, strict=True)]
+    starts: list[int] = []
+    for k, v in enumerate(low):
+        if not starts or v < low[starts[-1]]:
+            starts.append(k)
+    best = (-1, 0, 0)
+    for e in range(len(runs) - 1, -1, -1):
+        while starts and high[e] - low[starts[-1]] >= -1e-9:
+            s = starts.pop()
+            if s <= e:
+                best = max(best, (ends[e] + edits[e] - matches[s] - edits[s], s, e))
+        if not starts:
+            break
+    _, s, e = best
+
+    def told(s: int, e: int) -> tuple[int, int, int, int, int, int]:
+        (x, y, _), (u, v, n) = runs[s], runs[e]
+        return x, u + n, y, v + n, ends[e] - matches[s], edits[e] - edits[s]
+
+    end = max(range(s, e + 1), key=lambda k: (ends[k] - edits[k], k))
+    begin = min(range(s, end + 1), key=lambda k: (matches[k] - edits[k], k))
+    long = lambda p: min(p[1] - p[0], p[3] - p[2]) >= MIN_WORDS
+    if long(told(begin, end)):
+        s, e = begin, end
+    if long(told(s, e)):
+        yield told(s, e)
+    yield from _stretches(runs[:s])
+    yield from _stretches(runs[e + 1 :])
+
+
 def passages(a: np.ndarray, b: np.ndarray, x: Sequence[int], y: Sequence[int]) -> Iterator[tuple[int, int, int, int, int, int]]:
-    """(begin, end in a, begin, end in b, matches, edits) of the passages through seeds at x in a and y in b.
+    """(begin, end in a, begin, end in b, matches, edits) of the passages along chains of seeds at x in a and y in b.
 
-    Seeds come chain by chain. One that lies where an earlier one has been aligned is not aligned again, so no two passages start
-    from the same place of a.
+    Seeds come chain by chain; a chain ends where x or y doesn't grow. Seeds in a passage or a run of like words that an earlier chain gave
+    are left out, so periodic texts are not aligned again and again.
     """
-    done: list[tuple[int, int]] = []  # disjoint and in order
+    taken = np.zeros(len(a), bool)
     ahead, behind = (Side(a), Side(b)), (Side(a[::-1]), Side(b[::-1]))
+    parts: list[list[tuple[int, int]]] = []
     for i, j in zip(x, y, strict=True):
-        place = bisect.bisect_right(done, (i, len(a) + 1)) - 1
-        if place >= 0 and i < done[place][1]:
-            continue
-        if _run_length(a, b, i, j) < SHINGLE:
+        if not parts or i <= parts[-1][-1][0] or j <= parts[-1][-1][1]:
+            parts.append([])
+        parts[-1].append((i, j))
+    for part in parts:
+        seeds = [(i, j) for i, j in part if not taken[i]]
+        seeds = [(i, j) for i, j in seeds if _run_length(a, b, i, j) >= SHINGLE]
+        if not seeds:
             continue
-        right = extend(*ahead, i, j)
-        left = extend(*behind, len(a) - i, len(b) - j)
-        begin_a, end_a, begin_b, end_b = i - left[0], i + right[0], j - left[1], j + right[1]
-        low = bisect.bisect_left(done, (begin_a,))
-        low -= low > 0 and done[low - 1][1] >= begin_a
-        high = bisect.bisect_right(done, (end_a, len(a) + 1))
-        merged = done[low:high] + [(begin_a, end_a)]
-        done[low:high] = [(min(m[0] for m in merged), max(m[1] for m in merged))]
-        matches, edits = left[2] + right[2], left[3] + right[3]
-        if min(end_a - begin_a, end_b - begin_b) >= MIN_WORDS and matches >= MIN_SIMILARITY * (matches + edits):
-            yield begin_a, end_a, begin_b, end_b, matches, edits
+        runs = _path(ahead, behind, seeds)
+        for i, _, n in runs:
+            taken[i : i + n] = True
+        for p in _stretches(runs):
+            taken[p[0] : p[1]] = True
+            yield p
 
 
 def _align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

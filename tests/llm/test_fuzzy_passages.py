@@ -100,3 +100,53 @@ def test_every_long_common_run_has_a_common_seed():
         two = [rng.randrange(1 << 30) for _ in range(rng.randint(0, 40))] + run
         seeds = [set(P._seeds(np.array(w, np.uint64), np.zeros(len(w), np.int64), 1)[0].tolist()) for w in (one, two)]
         assert seeds[0] & seeds[1]
+
+
+def test_words_inserted_in_the_middle_of_a_passage(spark):
+    rng = random.Random(8)
+    pool = vocabulary(rng)
+    prose = lambda n: [rng.choice(pool) for _ in range(n)]
+    texts = []
+    for n in (6, 7, 10, 12):
+        left, right = prose(40), prose(40)
+        texts += [" ".join(prose(30) + left + right + prose(30)), " ".join(prose(20) + left + prose(n) + right + prose(40))]
+    rows = P.shared_passages(corpus.table(spark, texts)).collect()
+    assert {(r.doc_id, r.other_id) for r in rows} == {(k + 1, k) for k in range(0, len(texts), 2)}
+    for r in rows:
+        assert r.end_word - r.begin_word >= 80 and r.other_end - r.other_begin >= 80 and r.similarity >= 0.8
+
+
+def test_alignment_of_chains_with_many_edits():
+    rng = random.Random(9)
+    pool = list(range(1, 5000))
+    lost = tried = 0
+    for rate in (0.10, 0.12, 0.15):
+        for _ in range(100):
+            passage = [rng.choice(pool) for _ in range(70)]
+            places = set(rng.sample(range(1, 69), round(70 * rate)))
+            other = [rng.choice(pool) if k in places else w for k, w in enumerate(passage)]
+            noise = lambda: [rng.choice(pool) for _ in range(60)]
+            a, b = np.array(noise() + passage + noise(), np.uint32), np.array(noise() + other + noise(), np.uint32)
+            seeds = [k for k in range(60, 126) if (a[k : k + 5] == b[k : k + 5]).all()]
+            if seeds:
+                tried += 1
+                found = list(P.passages(a, b, seeds, seeds))
+                lost += not any(p[1] - p[0] >= 60 and p[4] >= 0.8 * (p[4] + p[5]) for p in found)
+    assert tried > 290 and lost <= 0.02 * tried
+
+
+def test_the_gap_between_seeds_against_brute_force():
+    rng = random.Random(10)
+    for _ in range(60):
+        a, b = ([rng.randrange(6) for _ in range(rng.randint(1, 9))] for _ in range(2))
+        best = {(i, 0): -4 * i for i in range(len(a) + 1)} | {(0, j): -4 * j for j in range(len(b) + 1)}
+        for i in range(1, len(a) + 1):
+            for j in range(1, len(b) + 1):
+                best[i, j] = max(best[i - 1, j - 1] + (1 if a[i - 1] == b[j - 1] else -4), best[i - 1, j] - 4, best[i, j - 1] - 4)
+        runs = P._between(np.array(a, np.uint32), np.array(b, np.uint32))
+        if len(a) == len(b) == 1:
+            continue
+        assert all(a[x] == b[y] for x, y, _ in runs)
+        border = [(-1, -1, 1), *runs, (len(a), len(b), 0)]
+        edits = sum(max(q[0] - p[0] - 1, q[1] - p[1] - 1) for p, q in zip(border, border[1:], strict=False))
+        assert len(runs) - 4 * edits == best[len(a), len(b)]
