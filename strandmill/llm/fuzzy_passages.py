@@ -6,9 +6,7 @@
    words. These are stars, not pairs: their number grows with the occurrences, and who shares a passage is linked through its first document.
 3. Chains: the matches of two documents are chained in order of both, with gap costs, through a Fenwick tree. A chain of one seed counts
    only if 15 words ahead of it or behind it are alike, too.
-   Many documents with the same text but for a few words would each be joined with many others. So a document's chain is left out where
-   a larger one of its chains runs over its place (seeds less than ``SOLID`` words apart over ``MIN_WORDS`` words or more) and both
-   partners have such a chain over that place with each other: all three stay linked.
+   Every chain is aligned: whether another one covers its place is only known from verified passages.
 4. Alignment: each chain is aligned word by word, a match earning 1 and an edit costing 4: the gaps between its seeds as a whole, and outwards
    from its ends until the score falls ``DROP`` below its best. The longest stretch that is ``MIN_WORDS`` long on both sides with a similarity
    of 0.8 or more is a passage, and so are such stretches before and after it.
@@ -47,7 +45,6 @@ WIDEST = 128
 #: Words on either side of a chain that are brought along for its alignment; a chain that grows up to there is aligned as far.
 MARGIN = 512
 GAP = 0.02
-SOLID = 32
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -132,65 +129,6 @@ def _chain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _solid(places: Sequence[int]) -> list[tuple[int, int]]:
-    """The parts of a chain, on one side, in which seeds follow closely; only those as long as a passage."""
-    parts, begin, last = [], places[0], places[0]
-    for at in places[1:]:
-        if at - last >= SOLID:
-            parts.append((begin, last + SHINGLE))
-            begin = at
-        last = at
-    parts.append((begin, last + SHINGLE))
-    return [p for p in parts if p[1] - p[0] >= MIN_WORDS]
-
-
-def _cover(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """All chains of a document -> its chains, each with the partner of a larger one that runs over its place (or null)."""
-    for batch in batches:
-        out = []
-        for i in range(batch.num_rows):
-            parts: list[tuple[int, int, int]] = []
-            row = batch.column(0)[i].as_py()
-            for c in sorted(batch.column(1)[i].as_py(), key=lambda c: (-len(c["x"]), c["hub"], c["x"])):
-                low, high = c["x"][0], c["x"][-1] + SHINGLE
-                over = next((hub for a, b, hub in parts if a <= low and high <= b and hub != c["hub"]), None)
-                out.append((row, c["hub"], c["x"], c["y"], over))
-                if over is None:
-                    parts += [(a, b, c["hub"]) for a, b in _solid(c["x"])]
-        yield pa.RecordBatch.from_pydict(
-            {
-                "row": pa.array([o[0] for o in out], pa.int64()), "hub": pa.array([o[1] for o in out], pa.int64()),
-                "x": pa.array([o[2] for o in out], pa.list_(pa.int32())), "y": pa.array([o[3] for o in out], pa.list_(pa.int32())),
-                "over": pa.array([o[4] for o in out], pa.int64()),
-            }
-        )
-
-
-def _solid_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Chains -> (row, hub, in_row, low, high): their solid parts on either side."""
-    for batch in batches:
-        out = []
-        for row, hub, x, y in zip(*[batch.column(k).to_pylist() for k in range(4)], strict=True):
-            out += [(row, hub, True, *p) for p in _solid(x)] + [(row, hub, False, *p) for p in _solid(y)]
-        kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.int32()]
-        yield pa.RecordBatch.from_pydict({n: pa.array([o[k] for o in out], t) for k, (n, t) in enumerate(zip(["row", "hub", "in_row", "low", "high"], kinds, strict=True))})
-
-
-def needed_chains(chained: DataFrame) -> DataFrame:
-    """Chains without those whose partner is linked with a larger chain's partner over the same place."""
-    whole = chained.groupBy("row").agg(F.collect_list(F.struct("hub", "x", "y")).alias("chains"))
-    told = spill(whole.mapInArrow(_cover, "row long, hub long, x array<int>, y array<int>, over long"))
-    doubtful = told.filter("over IS NOT NULL")
-    solid = chained.mapInArrow(_solid_parts, "row long, hub long, in_row boolean, low int, high int")
-    parts = solid.select(F.col("row").alias("p_row"), F.col("hub").alias("p_hub"), "in_row", "low", "high")
-    # The two partners' chain is that of the later one; the place is the one in this chain's partner.
-    low, high = F.col("y")[0], F.element_at("y", -1) + SHINGLE
-    linked = (F.greatest("hub", "over") == F.col("p_row")) & (F.least("hub", "over") == F.col("p_hub"))
-    held = linked & (F.col("in_row") == (F.col("hub") > F.col("over"))) & (F.col("low") <= low) & (high <= F.col("high"))
-    kept = doubtful.join(parts, held, "left_anti")
-    return told.filter("over IS NULL").unionByName(kept).select("row", "hub", "x", "y")
-
-
 def _excerpt(words: np.ndarray, places: Sequence[int]) -> tuple[int, np.ndarray]:
     """The words around some seeds, from which place on."""
     low = max(min(places) - MARGIN, 0)
@@ -471,7 +409,7 @@ def shared_passages(docs: DataFrame) -> DataFrame:
         (F.size("matches") > 1) | F.exists("matches", lambda m: m["near"])
     )
     chained = spill(matched.mapInArrow(_chain, "row long, hub long, x array<int>, y array<int>"))
-    asked = needed_chains(chained).groupBy("row").agg(F.collect_list(F.struct("hub", "row", "x", "y")).alias("chains"))
+    asked = chained.groupBy("row").agg(F.collect_list(F.struct("hub", "row", "x", "y")).alias("chains"))
     cut = texts.join(asked, "row").select("text", "chains", "row").mapInArrow(_cut_out, "hub long, row long, x array<int>, y array<int>, begin int, words binary")
     sides = texts.join(cut.withColumnRenamed("row", "other").withColumnRenamed("hub", "row"), "row")
     found = sides.select("text", F.col("row").alias("hub"), F.col("other").alias("row"), "x", "y", "begin", "words").mapInArrow(_align, FOUND)

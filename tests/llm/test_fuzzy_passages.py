@@ -150,3 +150,15 @@ def test_the_gap_between_seeds_against_brute_force():
         border = [(-1, -1, 1), *runs, (len(a), len(b), 0)]
         edits = sum(max(q[0] - p[0] - 1, q[1] - p[1] - 1) for p, q in zip(border, border[1:], strict=False))
         assert len(runs) - 4 * edits == best[len(a), len(b)]
+
+
+def test_a_paragraph_that_a_larger_partner_has_reworded(spark):
+    rng = random.Random(11)
+    pool = vocabulary(rng)
+    prose = lambda n: [rng.choice(pool) for _ in range(n)]
+    for _ in range(3):
+        before, paragraph, after = prose(200), prose(60), prose(200)
+        reworded = [w if k % 31 < 22 and k >= 31 else rng.choice(pool) for k, w in enumerate(paragraph)]
+        h1, h2, r = before + reworded + after, prose(20) + paragraph + prose(20), before + paragraph + after
+        rows = P.shared_passages(corpus.table(spark, [" ".join(x) for x in (h1, h2, r)])).collect()
+        assert [x for x in rows if (x.doc_id, x.other_id) == (2, 1) and x.begin_word <= 200 and x.end_word >= 260]
