@@ -1,12 +1,11 @@
 """Substring dedup: passages that documents share, edits allowed, by collinear chaining.
 
-1. Seeds: hashes of five words, thinned by winnowing: of every ``WINDOW`` neighbouring seeds the smallest one is kept, so any 20 words
+1. Seeds: hashes of five words, thinned by winnowing: of every ``WINDOW`` neighbouring seeds the smallest one is kept, so any 8 words
    in a row that two documents share give them a common seed. Seeds that occur once are dropped by a count combined map-side.
 2. Partners: each occurrence of a seed is joined with the seed's first document, and with the first document that goes on with the same 45
    words. These are stars, not pairs: their number grows with the occurrences, and who shares a passage is linked through its first document.
-3. Chains: the matches of two documents are chained in order of both, with gap costs, through a Fenwick tree. A chain of one seed counts
-   only if 15 words ahead of it or behind it are alike, too.
-   Every chain is aligned: whether another one covers its place is only known from verified passages.
+3. Chains: the matches of two documents are chained in order of both, with gap costs, through a Fenwick tree.
+   Every chain is aligned, also one of a single seed: whether another one covers its place is only known from verified passages.
 4. Alignment: each chain is aligned word by word, a match earning 1 and an edit costing 4: the gaps between its seeds as a whole, and outwards
    from its ends until the score falls ``DROP`` below its best. The longest stretch that is ``MIN_WORDS`` long on both sides with a similarity
    of 0.8 or more is a passage, and so are such stretches before and after it.
@@ -30,9 +29,9 @@ from strandmill.llm.textspans import SPACE, RollingHash, chunks, mix, owner, spa
 from strandmill.session import ship_package, spill
 
 SHINGLE = 5
-WINDOW = 16
-#: Words of a seed's contexts, seed included: far ahead, near ahead and near behind; their hashes share 64 bits (24, 20 and 20).
-FAR, NEAR = 45, 15
+WINDOW = 4
+#: Words of a seed's context, from the seed on.
+FAR = 45
 MIN_WORDS = 50
 MIN_SIMILARITY = 0.8
 EDIT_COST = 4
@@ -67,7 +66,7 @@ def _fold(words: np.ndarray, n: int) -> np.ndarray:
 
 
 def _seeds(words: np.ndarray, text: np.ndarray, n_texts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Hash, contexts, text, and place in its text of the seeds that winnowing keeps."""
+    """Hash, context, text, and place in its text of the seeds that winnowing keeps."""
     empty = np.zeros(0, np.int64)
     if len(words) < SHINGLE + WINDOW - 1:
         return empty, empty, empty, empty
@@ -83,17 +82,11 @@ def _seeds(words: np.ndarray, text: np.ndarray, n_texts: int) -> tuple[np.ndarra
         at = at[~same | (at % WINDOW == 0)]
     first = np.searchsorted(text, np.arange(n_texts))
 
-    def context(n: int, shift: int, bits: int) -> np.ndarray:
-        """Hash of n words from each seed on (shift 0) or up to its end, in so many bits, never 0; 0 where the text has fewer."""
-        if len(words) < n or not len(at):
-            return np.zeros(len(at), np.uint64)
-        begin = at - shift
-        inside = (begin >= 0) & (begin + n <= len(words))
-        begin = np.clip(begin, 0, len(words) - n)
-        inside &= text[begin] == text[begin + n - 1]
-        return np.where(inside, (_fold(words, n)[begin] >> np.uint64(64 - bits)) | np.uint64(1), np.uint64(0))
-
-    c = context(FAR, 0, 24) << np.uint64(40) | context(NEAR, 0, 20) << np.uint64(20) | context(NEAR, NEAR - SHINGLE, 20)
+    c = np.zeros(len(at), np.uint64)  # hash of FAR words from each seed on, never 0; 0 where the text has fewer
+    if len(words) >= FAR and len(at):
+        begin = np.minimum(at, len(words) - FAR)
+        inside = (begin == at) & (text[begin] == text[begin + FAR - 1])
+        c = np.where(inside, _fold(words, FAR)[begin] | np.uint64(1), c)
     return h[at], c, text[at], at - first[text[at]]
 
 
@@ -114,13 +107,9 @@ def _chain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row, hub, out = batch.column(0).to_pylist(), batch.column(1).to_pylist(), []
         for i in range(batch.num_rows):
             listed = batch.column(2)[i].values
-            near: dict[tuple[int, int], bool] = {}
-            for x, y, alike in zip(*[listed.field(k).to_pylist() for k in range(3)], strict=True):
-                near[x, y] = near.get((x, y), False) or alike
-            matches = sorted(near)
+            matches = sorted(set(zip(*[listed.field(k).to_pylist() for k in range(2)], strict=True)))
             for chain in chains(matches, SHINGLE, GAP):
-                if len(chain) > 1 or near[matches[chain[0]]]:
-                    out.append((row[i], hub[i], [matches[k][0] for k in chain], [matches[k][1] for k in chain]))
+                out.append((row[i], hub[i], [matches[k][0] for k in chain], [matches[k][1] for k in chain]))
         yield pa.RecordBatch.from_pydict(
             {
                 "row": pa.array([o[0] for o in out], pa.int64()), "hub": pa.array([o[1] for o in out], pa.int64()),
@@ -394,20 +383,12 @@ def shared_passages(docs: DataFrame) -> DataFrame:
     # Tables by seed are written first: their joins then have plain exchanges on both sides, and a hot seed's rows can be split.
     twice = spill(scan.groupBy("h").agg(F.min("row").alias("a"), F.max("row").alias("b")).filter("a <> b").select("h"))
     seeds = spill(scan.join(twice, "h", "left_semi"))
-    place = F.struct("at", "c")
-    first = spill(seeds.groupBy("h").agg(F.min("row").alias("hub"), F.min_by(place, F.struct("row", "at")).alias("there")))
-    far = F.shiftrightunsigned("c", 40).alias("far")
-    wide = seeds.select("h", far, "row", "at", "c").filter("far <> 0")
-    same = spill(wide.groupBy("h", "far").agg(F.min("row").alias("hub"), F.min_by(place, F.struct("row", "at")).alias("there")))
-    stars = seeds.join(first, "h").select("row", "at", "c", "hub", "there")
-    stars = stars.unionByName(wide.join(same, ["h", "far"]).select("row", "at", "c", "hub", "there")).filter("row <> hub")
-    part = lambda c, shift, bits: F.shiftrightunsigned(c, shift).bitwiseAND(F.lit((1 << bits) - 1).cast("long"))
-    alike = lambda shift, bits: (part("c", shift, bits) != 0) & (part("c", shift, bits) == part("there.c", shift, bits))
-    near = alike(40, 24) | alike(20, 20) | alike(0, 20)
-    matched = stars.select("row", "hub", F.struct("at", F.col("there.at").alias("hub_at"), near.alias("near")).alias("m"))
-    matched = matched.groupBy("row", "hub").agg(F.collect_set("m").alias("matches")).filter(
-        (F.size("matches") > 1) | F.exists("matches", lambda m: m["near"])
-    )
+    first = spill(seeds.groupBy("h").agg(F.min("row").alias("hub"), F.min_by("at", F.struct("row", "at")).alias("hub_at")))
+    wide = seeds.select("h", "c", "row", "at").filter("c <> 0")
+    same = spill(wide.groupBy("h", "c").agg(F.min("row").alias("hub"), F.min_by("at", F.struct("row", "at")).alias("hub_at")))
+    stars = seeds.join(first, "h").select("row", "at", "hub", "hub_at")
+    stars = stars.unionByName(wide.join(same, ["h", "c"]).select("row", "at", "hub", "hub_at")).filter("row <> hub")
+    matched = stars.groupBy("row", "hub").agg(F.collect_set(F.struct("at", "hub_at")).alias("matches"))
     chained = spill(matched.mapInArrow(_chain, "row long, hub long, x array<int>, y array<int>"))
     asked = chained.groupBy("row").agg(F.collect_list(F.struct("hub", "row", "x", "y")).alias("chains"))
     cut = texts.join(asked, "row").select("text", "chains", "row").mapInArrow(_cut_out, "hub long, row long, x array<int>, y array<int>, begin int, words binary")

@@ -3,6 +3,7 @@ import re
 
 import corpus
 import numpy as np
+import pyarrow as pa
 
 from strandmill.llm import fuzzy_passages as P
 
@@ -162,3 +163,24 @@ def test_a_paragraph_that_a_larger_partner_has_reworded(spark):
         h1, h2, r = before + reworded + after, prose(20) + paragraph + prose(20), before + paragraph + after
         rows = P.shared_passages(corpus.table(spark, [" ".join(x) for x in (h1, h2, r)])).collect()
         assert [x for x in rows if (x.doc_id, x.other_id) == (2, 1) and x.begin_word <= 200 and x.end_word >= 260]
+
+
+def test_edited_passages_have_a_seed_in_common_and_one_is_enough():
+    rng = random.Random(12)
+    for size, rate in ((55, 0.10), (55, 0.13), (55, 0.16), (70, 0.16)):
+        lost = 0
+        for _ in range(300):
+            passage = [rng.randrange(1 << 40) for _ in range(size)]
+            other = list(passage)
+            for k in rng.sample(range(size), round(size * rate)):
+                other[k] = rng.randrange(1 << 40)
+            both = []
+            for part in (passage, other):
+                w = [rng.randrange(1 << 40) for _ in range(40)] + part + [rng.randrange(1 << 40) for _ in range(40)]
+                both.append(set(P._seeds(np.array(w, np.uint64), np.zeros(len(w), np.int64), 1)[0].tolist()))
+            lost += not both[0] & both[1]
+        print(size, rate, "no common seed:", lost, "of 300")
+        assert lost <= 9
+    one = pa.array([[{"at": 3, "hub_at": 9, "near": False}]], pa.list_(pa.struct([("at", pa.int32()), ("hub_at", pa.int32()), ("near", pa.bool_())])))
+    batch = pa.RecordBatch.from_arrays([pa.array([2]), pa.array([1]), one], ["row", "hub", "matches"])
+    assert [b.num_rows for b in P._chain(iter([batch]))] == [1]
