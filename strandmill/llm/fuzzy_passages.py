@@ -2,8 +2,9 @@
 
 1. Seeds: hashes of five words, thinned by winnowing: of every ``WINDOW`` neighbouring seeds the smallest one is kept, so any 8 words
    in a row that two documents share give them a common seed. Seeds that occur once are dropped by a count combined map-side.
-2. Partners: each occurrence of a seed is joined with the seed's first document, and with the first document that goes on with the same 45
-   words. These are stars, not pairs: their number grows with the occurrences, and who shares a passage is linked through its first document.
+2. Partners: each occurrence of a seed is joined with the seed's first document, with the first document that goes on with the same 45
+   words, and with the first document that has the same two seeds in a row (of those that occur in several documents, so an edit between
+   them doesn't matter): a passage made of lines that earlier documents hold one by one is found by the seeds where the lines meet. These are stars, not pairs: their number grows with the occurrences, and who shares a passage is linked through its first document.
 3. Chains: the matches of two documents are chained in order of both, with gap costs, through a Fenwick tree.
    Every chain is aligned, also one of a single seed: whether another one covers its place is only known from verified passages.
 4. Alignment: each chain is aligned word by word, a match earning 1 and an edit costing 4: the gaps between its seeds as a whole, and outwards
@@ -21,7 +22,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandmill.kernels.chaining import chains
@@ -387,7 +388,14 @@ def shared_passages(docs: DataFrame) -> DataFrame:
     wide = seeds.select("h", "c", "row", "at").filter("c <> 0")
     same = spill(wide.groupBy("h", "c").agg(F.min("row").alias("hub"), F.min_by("at", F.struct("row", "at")).alias("hub_at")))
     stars = seeds.join(first, "h").select("row", "at", "hub", "hub_at")
-    stars = stars.unionByName(wide.join(same, ["h", "c"]).select("row", "at", "hub", "hub_at")).filter("row <> hub")
+    stars = stars.unionByName(wide.join(same, ["h", "c"]).select("row", "at", "hub", "hub_at"))
+    order = Window.partitionBy("row").orderBy("at")
+    after = seeds.select("row", "at", "h", F.lead("h").over(order).alias("next"), F.lead("at").over(order).alias("next_at")).filter("next IS NOT NULL")
+    pairs = spill(after.select(F.xxhash64("h", "next").alias("pair"), "row", F.array("at", "next_at").alias("both")))
+    held = pairs.groupBy("pair").agg(F.min("row").alias("hub"), F.max("row").alias("last"), F.min_by("both", F.struct("row", "both")).alias("there"))
+    held = spill(held.filter("hub <> last").drop("last"))
+    paired = pairs.join(held, "pair").filter("row <> hub").select("row", "hub", F.explode(F.arrays_zip("both", "there")).alias("m"))
+    stars = stars.unionByName(paired.select("row", F.col("m.both").alias("at"), "hub", F.col("m.there").alias("hub_at"))).filter("row <> hub")
     matched = stars.groupBy("row", "hub").agg(F.collect_set(F.struct("at", "hub_at")).alias("matches"))
     chained = spill(matched.mapInArrow(_chain, "row long, hub long, x array<int>, y array<int>"))
     asked = chained.groupBy("row").agg(F.collect_list(F.struct("hub", "row", "x", "y")).alias("chains"))

@@ -184,3 +184,16 @@ def test_edited_passages_have_a_seed_in_common_and_one_is_enough():
     one = pa.array([[{"at": 3, "hub_at": 9, "near": False}]], pa.list_(pa.struct([("at", pa.int32()), ("hub_at", pa.int32()), ("near", pa.bool_())])))
     batch = pa.RecordBatch.from_arrays([pa.array([2]), pa.array([1]), one], ["row", "hub", "matches"])
     assert [b.num_rows for b in P._chain(iter([batch]))] == [1]
+
+
+def test_a_passage_of_lines_that_earlier_documents_have_one_by_one(spark):
+    rng = random.Random(13)
+    pool = vocabulary(rng)
+    prose = lambda n: [rng.choice(pool) for _ in range(n)]
+    texts = []
+    for _ in range(6):
+        one, two = prose(30), prose(30)
+        copy = one[:-1] + ["changed"] + two
+        texts += [" ".join(prose(60) + x + prose(60)) for x in (one, two, one + two, copy)]
+    rows = P.shared_passages(corpus.table(spark, texts)).collect()
+    assert {(r.doc_id, r.other_id) for r in rows} == {(k + 3, k + 2) for k in range(0, len(texts), 4)}
