@@ -12,6 +12,9 @@ CHUNK = 1 << 19
 #: Odd multiplier of the polynomial hash modulo 2^64, and its inverse.
 BASE = np.uint64(0x9E3779B97F4A7C15)
 INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+#: A second polynomial hash, modulo a prime: modulo 2^64 alone some different texts of two letters (Thue-Morse words) are alike for any multiplier.
+PRIME = (1 << 31) - 1
+PRIME_BASE = 1_532_084_327
 
 SPACE = np.zeros(256, bool)
 SPACE[[32, 9, 10, 11, 12, 13]] = True
@@ -34,6 +37,32 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return tuple(made)
 
 
+_prime_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
+def prime_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of PRIME_BASE and of its inverse modulo PRIME, up to n; tables for usual sizes are kept."""
+    size = 1 << max(16, int(n).bit_length())
+    if size in _prime_powers:
+        return _prime_powers[size]
+    made = []
+    for base in (PRIME_BASE, pow(PRIME_BASE, -1, PRIME)):
+        table, known = np.ones(size + 1, np.uint64), 1
+        while known <= size:
+            many = min(known, size + 1 - known)
+            table[known : known + many] = table[:many] * np.uint64(pow(base, known, PRIME)) % np.uint64(PRIME)
+            known += many
+        made.append(table)
+    if size <= CHUNK * 2:
+        _prime_powers[size] = tuple(made)
+    return tuple(made)
+
+
+def _fold_prime(x: np.ndarray) -> np.ndarray:
+    """A smaller number that is the same modulo PRIME."""
+    return (x & np.uint64(PRIME)) + (x >> np.uint64(31))
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit words that spreads every bit (the splitmix finaliser)."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -45,14 +74,29 @@ class RollingHash:
     """Hashes of any byte spans of one buffer, from prefix sums."""
 
     def __init__(self, data: np.ndarray):
-        power, self.inverse = powers(len(data) + 1)
-        self.prefix = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[: len(data)], out=self.prefix[1:])
-
-    def spans(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        n = len(data)
+        power, self.inverse = powers(n + 1)
+        letters = data.astype(np.uint64) + np.uint64(1)
+        self.prefix = np.zeros(n + 1, np.uint64)
+        np.cumsum(letters * power[:n], out=self.prefix[1:])
+        prime_power, self.prime_inverse = prime_powers(n + 1)
+        letters *= prime_power[:n]
+        if n >= 1 << 24:  # sums of more terms would need terms below 2^32
+            letters = _fold_prime(letters)
+        self.prime_prefix = np.zeros(n + 1, np.uint64)
+        np.cumsum(letters, out=self.prime_prefix[1:])
+
+    def quick(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """The hash modulo 2^64 alone: for where a few different spans may be alike."""
         raw = (self.prefix[end] - self.prefix[start]) * self.inverse[start]
         return mix(raw + (end - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
+    def spans(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Both hashes in one: spans are alike only where both are."""
+        prime = _fold_prime(_fold_prime(self.prime_prefix[end] - self.prime_prefix[start])) * self.prime_inverse[start]
+        prime = _fold_prime(_fold_prime(prime)) % np.uint64(PRIME)
+        return mix(self.quick(start, end) + prime * np.uint64(0xA0761D6478BD642F))
+
 
 def texts_of(column: pa.Array) -> pa.Array:
     """Null texts as empty ones, 64-bit offsets."""

@@ -3,7 +3,6 @@ import re
 
 import corpus
 import numpy as np
-import pyarrow as pa
 
 from strandmill.llm import fuzzy_passages as P
 
@@ -85,22 +84,61 @@ def test_extension_against_the_truth():
         pool = list(range(1, 5000))
         a = [rng.choice(pool) for _ in range(150)]
         b = edited(rng, a, 0.06, pool) + [rng.choice(pool) for _ in range(40)]
-        got = P.extend(P.Side(np.array(a, np.uint32)), P.Side(np.array(b, np.uint32)), 0, 0)
+        got = P.extend(P.Pair(np.array(a, np.uint32), np.array(b, np.uint32)), 0, 0)
         if a[:1] == b[:1]:
             assert got[2] <= min(got[0], got[1]) and got[2] - 4 * got[3] >= 0
-    same = P.Side(np.arange(300, dtype=np.uint32))
-    assert P.extend(same, same, 5, 5) == (295, 295, 295, 0)
+    same = np.arange(300, dtype=np.uint32)
+    assert P.extend(P.Pair(same, same), 5, 5) == (295, 295, 295, 0)
+    pair = P.Pair(np.array([1, 2, 3, 4, 9, 5]), np.array([7, 1, 2, 3, 4, 8, 5, 6]))
+    assert [pair.ahead(0, 1), pair.ahead(2, 3), pair.ahead(4, 5), pair.ahead(5, 6), pair.behind(4, 5), pair.behind(0, 1), pair.ahead(5, 7)] == [4, 2, 0, 1, 4, 0, 0]
+
+
+def seeds_of(words):
+    w = np.array(words, np.uint64)
+    return set(P._seeds(w, np.zeros(len(w), np.int64))[1].tolist())
 
 
 def test_every_long_common_run_has_a_common_seed():
     rng = random.Random(7)
-    n = P.SHINGLE + P.WINDOW - 1
-    for _ in range(100):
-        run = rng.sample(range(1, 1 << 30), n)
-        one = [rng.randrange(1 << 30) for _ in range(rng.randint(0, 40))] + run + [rng.randrange(1 << 30) for _ in range(9)]
-        two = [rng.randrange(1 << 30) for _ in range(rng.randint(0, 40))] + run
-        seeds = [set(P._seeds(np.array(w, np.uint64), np.zeros(len(w), np.int64), 1)[0].tolist()) for w in (one, two)]
-        assert seeds[0] & seeds[1]
+    for _ in range(300):
+        run = rng.sample(range(1, 1 << 60), 50)
+        one = [rng.randrange(1 << 60) for _ in range(rng.randint(0, 40))] + run + [rng.randrange(1 << 60) for _ in range(9)]
+        two = [rng.randrange(1 << 60) for _ in range(rng.randint(0, 40))] + run
+        assert len(seeds_of(one) & seeds_of(two)) >= 2
+
+
+def test_sketches_against_plain_loops():
+    rng = random.Random(14)
+    sizes = [3, 90, 50, 61]
+    words = np.array([rng.randrange(1 << 64) for _ in range(sum(sizes))], np.uint64)
+    text = np.repeat(np.arange(len(sizes)), sizes)
+    at, _ = P._seeds(words, text)
+    assert len(at) and all(text[i] == text[i + 4] for i in at)
+    got = P._sketches(words, text, at)
+    first = np.searchsorted(text, text)
+    for i, row in zip(at.tolist(), got.tolist(), strict=True):
+        begin, end = int(first[i]), int(first[i]) + sizes[int(text[i])]
+        for j, (near, far) in enumerate(P.BANDS):
+            for k, low in ((j, i - far), (P.SIDES + j, i + P.SHINGLE + near)):
+                inside = [q for q in range(low, low + far - near - 1) if begin <= q and q + 1 < end]
+                two = [int(P.mix(words[q : q + 1] * np.uint64(0xBF58476D1CE4E5B9) + words[q + 1 : q + 2])[0]) for q in inside]
+                assert row[k] == (max(min(two) >> 48, 1) if two else 0)
+
+
+def test_stars():
+    def entry(key, row, at, sketch, waits=0):
+        return (key, row, at, sketch, waits)
+
+    same, other = [5] * 6, [6] * 6
+    one = [5, 0, 0, 7, 8, 9]
+    made = np.array([entry(1, 4, 0, same), entry(1, 2, 9, same), entry(1, 7, 1, other), entry(1, 8, 3, one), entry(2, 3, 0, same), entry(1, 2, 20, other)], P.ENTRY)
+    rows = P._sorted(made)
+    assert rows["row"].tolist() == [2, 2, 4, 7, 8, 3]
+    leader, matches, settled = P.star(rows)
+    assert leader.tolist() == [0, 0, 0, 0, 0, 5] and settled.tolist() == [True, False, True, False, False, True]
+    assert [tuple(m) for m in matches.tolist()] == [(4, 2, 0, 9, 40, 40), (8, 2, 3, 9, 8, 0)]
+    assert P._waiting(rows, leader, settled)["waits"].tolist() == [1, 0, 0, 0, 0, 0]
+    assert [len(x) for x in P.star(rows[:0])] == [0, 0, 0]
 
 
 def test_words_inserted_in_the_middle_of_a_passage(spark):
@@ -170,20 +208,19 @@ def test_edited_passages_have_a_seed_in_common_and_one_is_enough():
     for size, rate in ((55, 0.10), (55, 0.13), (55, 0.16), (70, 0.16)):
         lost = 0
         for _ in range(300):
-            passage = [rng.randrange(1 << 40) for _ in range(size)]
+            passage = [rng.randrange(1 << 60) for _ in range(size)]
             other = list(passage)
             for k in rng.sample(range(size), round(size * rate)):
-                other[k] = rng.randrange(1 << 40)
+                other[k] = rng.randrange(1 << 60)
             both = []
             for part in (passage, other):
-                w = [rng.randrange(1 << 40) for _ in range(40)] + part + [rng.randrange(1 << 40) for _ in range(40)]
-                both.append(set(P._seeds(np.array(w, np.uint64), np.zeros(len(w), np.int64), 1)[0].tolist()))
+                w = [rng.randrange(1 << 60) for _ in range(40)] + part + [rng.randrange(1 << 60) for _ in range(40)]
+                both.append(seeds_of(w))
             lost += not both[0] & both[1]
         print(size, rate, "no common seed:", lost, "of 300")
         assert lost <= 9
-    one = pa.array([[{"at": 3, "hub_at": 9, "near": False}]], pa.list_(pa.struct([("at", pa.int32()), ("hub_at", pa.int32()), ("near", pa.bool_())])))
-    batch = pa.RecordBatch.from_arrays([pa.array([2]), pa.array([1]), one], ["row", "hub", "matches"])
-    assert [b.num_rows for b in P._chain(iter([batch]))] == [1]
+    single = np.array([(2, 1, 3, 9, 20, 0), (4, 1, 3, 9, 8, 8), (6, 1, 0, 0, 0, 8), (6, 1, 30, 31, 0, 8)], P.MATCH)
+    assert list(P._chain_pairs(single)) == [(2, 1, [3], [9]), (6, 1, [0, 30], [0, 31])]
 
 
 def test_a_passage_of_lines_that_earlier_documents_have_one_by_one(spark):
@@ -197,3 +234,113 @@ def test_a_passage_of_lines_that_earlier_documents_have_one_by_one(spark):
         texts += [" ".join(prose(60) + x + prose(60)) for x in (one, two, one + two, copy)]
     rows = P.shared_passages(corpus.table(spark, texts)).collect()
     assert {(r.doc_id, r.other_id) for r in rows} == {(k + 3, k + 2) for k in range(0, len(texts), 4)}
+
+
+def linked(rows):
+    return {(r.other_id, r.doc_id) for r in rows}
+
+
+def test_recall_of_edited_passages_whose_phrases_stand_in_many_earlier_documents(spark):
+    """Every phrase of a passage stands in 20 unrelated documents before: only their sequence tells original and copy."""
+    rng = random.Random(15)
+    pool = vocabulary(rng)
+    prose = lambda n: [rng.choice(pool) for _ in range(n)]
+    tried = caught = 0
+    texts, pairs = [], []
+    for size, every in ((100, 20), (200, 30), (60, 7)):
+        passages = [prose(size) for _ in range(6)]
+        for p in passages:
+            for k in range(0, size, 20):
+                texts += [" ".join(prose(40) + p[k : k + 20] + prose(40)) for _ in range(20)]
+        for p in passages:
+            q = [rng.choice(pool) if k % every == every // 2 else w for k, w in enumerate(p)]
+            pairs.append((len(texts), len(texts) + 1))
+            texts += [" ".join(prose(60) + x + prose(60)) for x in (p, q)]
+    found = linked(P.shared_passages(corpus.table(spark, texts).repartition(3)).collect())
+    caught += len(found & set(pairs))
+    tried += len(pairs)
+    print("caught", caught, "of", tried)
+    assert caught >= 0.9 * tried and found <= set(pairs)
+
+
+def alike(a, b):
+    """Brute force: is there an ungapped stretch of 50 words or more on some diagonal with 0.8 of them alike?"""
+    for d in range(-len(a) + P.MIN_WORDS, len(b) - P.MIN_WORDS + 1):
+        low, high = max(0, -d), min(len(a), len(b) - d)
+        value = np.where(a[low:high] == b[low + d : high + d], 0.2, -0.8)
+        upto = np.concatenate([[0], np.cumsum(value)])
+        least = np.minimum.accumulate(upto)
+        if (upto[P.MIN_WORDS :] >= least[: len(upto) - P.MIN_WORDS] - 1e-9).any():
+            return True
+    return False
+
+
+def test_against_all_pairs_by_brute_force(spark):
+    """Passages edited by substitution only, so that diagonals find them all: every document that shares one is told, and classes connect."""
+    rng = random.Random(16)
+    pool = vocabulary(rng, 1500)
+    prose = lambda n: [rng.choice(pool) for _ in range(n)]
+    texts = []
+    for _ in range(10):
+        passage = prose(rng.randint(56, 140))
+        for rate in (0.0, 0.03, 0.08, 0.12):
+            q = [rng.choice(pool) if rng.random() < rate else w for w in passage]
+            texts.append(prose(rng.randint(0, 60)) + q + prose(rng.randint(0, 60)))
+    lines = [prose(25) for _ in range(4)]
+    for _ in range(40):
+        texts.append(prose(rng.randint(10, 60)) + rng.choice(lines) + prose(20) + rng.choice(lines) + prose(10))
+    names = {w: i for i, w in enumerate(pool)}
+    coded = [np.array([names[w] for w in t]) for t in texts]
+    truth = {(i, j) for j in range(len(texts)) for i in range(j) if alike(coded[i], coded[j])}
+    found = linked(P.shared_passages(corpus.table(spark, [" ".join(t) for t in texts]).repartition(3)).collect())
+
+    def classes(links):
+        up = list(range(len(texts)))
+        root = lambda i: i if up[i] == i else root(up[i])
+        for i, j in links:
+            up[max(root(i), root(j))] = min(root(i), root(j))
+        return [root(i) for i in range(len(texts))]
+
+    told = {x for p in found for x in p}
+    sharing = {x for p in truth for x in p}
+    assert found <= truth
+    assert len(told & sharing) >= 0.97 * len(sharing)
+    one, two = classes(found), classes(truth)
+    joined = sum(one[i] == one[j] for i, j in truth)
+    print("documents", len(told), "of", len(sharing), "pairs in one class", joined, "of", len(truth))
+    assert joined >= 0.95 * len(truth)
+
+
+def test_a_passage_longer_than_the_first_cut(spark, monkeypatch):
+    """The only seed that two texts are linked by stands far from the passage's ends: rounds go on until no alignment is cut."""
+    rng = random.Random(17)
+    text = [f"w{rng.randrange(1 << 40)}" for _ in range(9000)]
+    words = np.arange(9000, dtype=np.uint32)
+    import pyarrow as pa
+
+    def aligned(margin, x):
+        chain = [{"hub": 1, "row": 2, "x": [x], "y": [x]}]
+        kind = pa.list_(pa.struct([("hub", pa.int64()), ("row", pa.int64()), ("x", pa.list_(pa.int32())), ("y", pa.list_(pa.int32()))]))
+        batch = pa.RecordBatch.from_arrays([pa.array([" ".join(text)]), pa.array([chain], kind), pa.array([2])], ["text", "chains", "row"])
+        (cut,) = P._cut_out(margin)(iter([batch]))
+        cut = cut.to_pydict()
+        side = pa.RecordBatch.from_pydict(
+            {"text": [" ".join(text)], "hub": cut["hub"], "row": cut["row"], "x": pa.array(cut["x"], pa.list_(pa.int32())), "y": pa.array(cut["y"], pa.list_(pa.int32())), "begin": cut["begin"], "more": cut["more"], "words": pa.array(cut["words"], pa.binary())}
+        )
+        return next(P._align(margin)(iter([side]))).to_pylist()
+
+    assert [r["open"] for r in aligned(512, 4000)] == [True] and [r["open"] for r in aligned(4096, 4000)] == [True]
+    (r,) = aligned(32768, 4000)
+    assert not r["open"] and (r["begin_word"], r["end_word"]) == (0, len(words))
+
+
+def test_a_hot_phrase_and_a_hot_group_of_copies(spark):
+    """A phrase in most documents makes no pairs; a third of the rows being copies gives each copy few rows."""
+    rng = random.Random(18)
+    pool = vocabulary(rng)
+    prose = lambda n: [rng.choice(pool) for _ in range(n)]
+    line, copy = prose(20), prose(120)
+    texts = [" ".join(prose(40) + line + prose(40)) for _ in range(120)] + [" ".join(copy)] * 60
+    rows = P.shared_passages(corpus.table(spark, texts).repartition(4)).collect()
+    ids = range(120, 180)
+    assert {x for r in rows for x in (r.doc_id, r.other_id)} == set(ids) and len(rows) <= 4 * len(ids)
