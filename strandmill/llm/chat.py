@@ -4,8 +4,9 @@ A template is plain data: for every role the strings before and after a turn and
 text is trained on, plus the automaton's transitions. Everything below is DataFrame expressions.
 
 Defined results: a null text or role counts as empty; rows with equal ``turn`` are ordered by role, then
-text, and all stay; null turns come first; rows with a null ``conv_id`` form one conversation; columns
-other than the four named ones are ignored; an empty table gives no rows.
+text, and all stay, repeated rows too; null turns come first; rows with a null ``conv_id`` form one conversation; very long
+texts are formatted whole, and one conversation lies in one task; columns other than the four named ones,
+whatever their names, are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -18,6 +19,8 @@ from pyspark.sql import functions as F
 #: Escapes, in the order they are applied. After them neither ``<`` nor ``[`` occurs in a text, so no
 #: control string can; every backslash is followed by 0, 1 or 2, so undoing them in reverse order is exact.
 ESCAPES = (("\\", "\\0"), ("<", "\\1"), ("[", "\\2"))
+#: A role is followed by ``after_role``, so its ``]`` is escaped too.
+ROLE_ESCAPES = (*ESCAPES, ("]", "\\3"))
 
 
 @dataclass(frozen=True)
@@ -42,14 +45,14 @@ class ChatTemplate:
     accepting: tuple[str, ...] = ("answered",)
 
 
-def escape(text: Column) -> Column:
-    for plain, coded in ESCAPES:
+def escape(text: Column, escapes: tuple[tuple[str, str], ...] = ESCAPES) -> Column:
+    for plain, coded in escapes:
         text = F.replace(text, F.lit(plain), F.lit(coded))
     return text
 
 
-def unescape(text: Column) -> Column:
-    for plain, coded in reversed(ESCAPES):
+def unescape(text: Column, escapes: tuple[tuple[str, str], ...] = ESCAPES) -> Column:
+    for plain, coded in reversed(escapes):
         text = F.replace(text, F.lit(coded), F.lit(plain))
     return text
 
@@ -88,7 +91,7 @@ def format_chats(conversations: DataFrame, template: ChatTemplate = ChatTemplate
         return F.struct(text.alias("text"), loss.alias("loss"))
 
     def segments(turn: Column) -> Column:
-        head = F.concat(F.lit(template.open_turn), escape(turn["role"]), F.lit(template.after_role))
+        head = F.concat(F.lit(template.open_turn), escape(turn["role"], ROLE_ESCAPES), F.lit(template.after_role))
         return F.array(
             segment(head, F.lit(False)),
             segment(escape(turn["text"]), turn["role"].isin(*template.loss_roles)),
@@ -118,7 +121,7 @@ def read_turns(formatted: Column, template: ChatTemplate = ChatTemplate()) -> Co
     def parse(part: Column) -> Column:
         at = F.instr(part, template.after_role)
         return F.struct(
-            unescape(F.substr(part, F.lit(start), at - F.lit(start))).alias("role"),
+            unescape(F.substr(part, F.lit(start), at - F.lit(start)), ROLE_ESCAPES).alias("role"),
             unescape(F.substr(part, at + F.lit(mark))).alias("text"),
         )
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,8 +19,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def vocabulary_path() -> str:
-    import public_tokenizers
-
     return public_tokenizers.path(VOCABULARY)
 
 
@@ -64,6 +63,8 @@ def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.char_length("loss").cast("long").alias("loss_chars"),
         F.sha2("loss", 256).alias("loss_sha256"),
         F.char_length("formatted").cast("long").alias("formatted_chars"),
+        "n_bad_turns",
+        "complete",
     )
 
 
@@ -72,14 +73,23 @@ WITH t AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
   UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+), k AS (
+  SELECT *, CASE WHEN role IN ('system', 'user', 'assistant') THEN role END AS known,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS nth FROM t
+), b AS (SELECT *, lag(known IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY nth) AS before FROM k
+), w AS (
+  SELECT *, CASE WHEN (role = 'system' AND before IS NULL) OR (role = 'user' AND coalesce(before, 'system') <> 'user')
+    OR (role = 'assistant' AND before = 'user') THEN 0 ELSE 1 END AS bad FROM b
 )
 SELECT conv_id, CAST(count(*) AS BIGINT) AS n_turns,
-  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY nth)) AS turns_sha256,
   CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
-  sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn, role, text), '')) AS loss_sha256,
-  CAST(sum(16 + length(role) + length(replace(replace(replace(text, chr(92), 'xx'), '<', 'xx'), '[', 'xx'))
-    + (length(replace(replace(replace(role, chr(92), 'xx'), '<', 'xx'), '[', 'xx')) - length(role))) AS BIGINT) AS formatted_chars
-FROM t GROUP BY conv_id
+  sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY nth), '')) AS loss_sha256,
+  CAST(sum(16 + length(replace(replace(replace(replace(role, chr(92), 'xx'), '<', 'xx'), '[', 'xx'), ']', 'xx'))
+    + length(replace(replace(replace(text, chr(92), 'xx'), '<', 'xx'), '[', 'xx'))) AS BIGINT) AS formatted_chars,
+  CAST(sum(bad) AS BIGINT) AS n_bad_turns,
+  sum(bad) = 0 AND arg_max(role, nth) = 'assistant' AS complete
+FROM w GROUP BY conv_id
 """
 
 

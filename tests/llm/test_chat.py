@@ -26,7 +26,7 @@ def test_round_trip_of_nasty_texts(spark):
     for c in range(40):
         for t in range(rng.randint(1, 9)):
             text = "".join(rng.choice(NASTY) for _ in range(rng.randint(0, 3)))
-            rows.append((c, t, rng.choice(["user", "assistant", "system", "to<o[l"]), text))
+            rows.append((c, t, rng.choice(["user", "assistant", "system", "to<o[l", "us]\ner", "]\n\\3"]), text))
     rng.shuffle(rows)
     found = {r.conv_id: r for r in read_back(chat.format_chats(frame(spark, rows)))}
     for c in {r[0] for r in rows}:
@@ -49,6 +49,20 @@ def test_automaton(spark):
     assert found == {1: (0, True), 2: (1, False), 3: (1, False), 4: (0, False), 5: (1, False)}
 
 
+def test_sql_walks_like_the_automaton(spark, tmp_path):
+    import duckdb
+    from strandmill.llm import queries
+
+    rng = random.Random(2)
+    rows = [(c, t, rng.choice(["user", "assistant", "system", "tool", "us]er"]), rng.choice(NASTY)) for c in range(60) for t in range(rng.randint(1, 6))]
+    frame(spark, rows).select("conv_id", "turn", "role", "text").write.parquet(str(tmp_path / "conversations.parquet"))
+    found = queries.op7_chat(spark, str(tmp_path))
+    duckdb.sql(f"CREATE OR REPLACE VIEW conversations AS SELECT * FROM read_parquet('{tmp_path}/conversations.parquet/*.parquet')")
+    expected = duckdb.sql(queries.OP7_SQL).df()[found.columns].itertuples(index=False, name=None)
+    assert sorted(map(tuple, found.collect())) == sorted(expected)
+    assert re.search("aggregate\\(", found._jdf.queryExecution().executedPlan().toString())
+
+
 def test_nulls_ties_repeats_and_empty(spark):
     given = [(1, 0, None, None), (1, 0, "user", "b"), (1, 0, "user", "a"), (1, 0, "user", "a"), (None, 0, "user", "x"), (None, None, "assistant", "y")]
     found = {r.conv_id: [(t.role, t.text) for t in r.turns] for r in read_back(chat.format_chats(frame(spark, given)))}
