@@ -11,7 +11,7 @@ from tokenizers import Tokenizer  # noqa: E402
 
 import corpus_pipeline  # noqa: E402
 from strandmill.llm import mixing, quality  # noqa: E402
-from test_quality import brute, share  # noqa: E402
+from test_quality import brute, share, top  # noqa: E402
 from test_simhash import brute_classes, near_texts, slow_fingerprint  # noqa: E402
 
 
@@ -26,7 +26,8 @@ def line_share(text):
 
 def kept_by_rules(text):
     windows = all(share(text, n) <= m for n, m in quality.MAX_WINDOW_SHARE.items())
-    return not brute(text)[-1] and windows and line_share(text) <= quality.MAX_LINE_SHARE
+    tops = all(top(text, n) <= m for n, m in quality.MAX_TOP_SHARE.items())
+    return not brute(text)[-1] and windows and tops and line_share(text) <= quality.MAX_LINE_SHARE
 
 
 def test_stages_against_brute_force(spark, tmp_path):

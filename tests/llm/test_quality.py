@@ -30,10 +30,29 @@ def share(text, n):
     return sum(len(words[i]) for i in covered) / max(1, sum(map(len, words)))
 
 
+def top(text, n):
+    words = WORD.findall(text or "")
+    count = Counter(tuple(words[i : i + n]) for i in range(len(words) - n + 1))
+    often = [(k, sum(map(len, w))) for w, k in count.items() if k >= Q.LEAST_TOPS]
+    k, size = max(often, default=(0, 0))
+    return k * size / max(1, sum(map(len, words)))
+
+
+def thue_morse(n, a, b):
+    tail = [0]
+    while len(tail) < n:
+        tail += [1 - x for x in tail]
+    return "".join((a, b)[x] for x in tail[:n])
+
+
 def texts():
     out = corpus.awkward_texts()
     base = " ".join(f"w{i}" for i in range(40))
-    return out + [base + " " + base, base + " w1 w2 w3 w4 w5 w6", (base + "\n") * 5, "# * $ %% a b c d e f g h i j", "A\r\nA\r\nb c d e f g h i"]
+    return out + [base + " " + base, base + " w1 w2 w3 w4 w5 w6", (base + "\n") * 5, "# * $ %% a b c d e f g h i j", "A\r\nA\r\nb c d e f g h i"] + [
+        "say it loud " * 3 + base, " ".join(f"a{i} of the b{i}" for i in range(9)), "\n".join(thue_morse(2048, *p) for p in ("ab", "ba")) + "\n" + base,
+        " ".join(thue_morse(2048, *p) for p in ("ab", "ba", "ab", "ba")),
+        " ".join(f"w{i}" for i in range(43)) + " " + " ".join(f"w{i}" for i in range(5, 10)),
+    ]
 
 
 def test_against_brute_force(spark):
@@ -44,7 +63,9 @@ def test_against_brute_force(spark):
         r = found[i]
         assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) == brute(text), text
         assert r.window_share == pytest.approx(max(share(text, n) for n in Q.MAX_WINDOW_SHARE)), text
+        assert r.top_share == pytest.approx(max(top(text, n) for n in Q.MAX_TOP_SHARE)), text
         verdict = r.base_failed or any(share(text, n) > m for n, m in Q.MAX_WINDOW_SHARE.items()) or r.line_share > Q.MAX_LINE_SHARE
+        verdict = verdict or any(top(text, n) > m for n, m in Q.MAX_TOP_SHARE.items())
         assert r.kept == (not verdict)
 
 
@@ -55,6 +76,20 @@ def test_repeated_lines_are_rejected_though_windows_are_few(spark):
     assert r.line_share == pytest.approx(12 / (18 + sum(len(f"w{i}") for i in range(12))))
 
 
+def test_the_method_rejects_what_the_base_rule_keeps(spark):
+    words = [f"word{i}" for i in range(100)]
+    windows = " ".join(words[:9] + ["longlonglonglong"] + words[10:90] + words[:9] + ["longlonglonglong"])  # ten of a hundred words, twice
+    tops = " ".join(x for i in range(9) for x in ("thequick", "brownfox", f"a{i}", f"b{i}"))
+    a, b, c = sorted(Q.quality(corpus.table(spark, [windows, tops, " ".join(words)])).collect(), key=lambda r: r.doc_id)
+    assert (a.base_failed, a.kept, b.base_failed, b.kept, c.kept) == (False, False, False, False, True)
+
+
+def test_different_lines_that_hash_alike_modulo_a_power_of_two(spark):
+    lines = [thue_morse(2048, *p) for p in ("ab", "ba")]
+    r = Q.quality(corpus.table(spark, ["\n".join(lines)])).first()
+    assert r.n_dup_lines == 0 and r.line_share == 0
+
+
 def test_small_chunks_give_the_same(spark, monkeypatch):
     import numpy as np
 
