@@ -5,8 +5,8 @@ digests that can hold more than 2 / (counters + 1) of all rows. An exact pass co
 their winners; that table, bounded by ``counters`` rows, is broadcast and settles its rows map-side. All
 other digests are in small groups by the summaries' guarantee and go through an ordinary shuffle.
 
-Defined results: a null text counts as empty; a null doc_id sorts after all others; of rows that repeat the
-smallest doc_id one stays; other columns are ignored; an empty table gives no rows.
+Defined results: a null text counts as empty; very long texts are digested whole; a null doc_id sorts after all others; of rows that repeat the
+smallest doc_id one stays; other columns, whatever their names, are ignored or passed through; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -16,10 +16,10 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from strandmill.session import settle, ship_package
+from strandmill.llm.rowkeys import with_row_key
+from strandmill.session import settle, ship_package, spill
 
 COUNTERS = 512
 
@@ -57,26 +57,28 @@ def frequent_digests(rows: DataFrame, n_rows: int, counters: int = COUNTERS) ->
     return settle(hits.groupBy("digest").agg(F.count(F.lit(1)).alias("group_size"), F.min("me").alias("keep")).filter("group_size > 1"))
 
 
-def exact_dedup(docs: DataFrame, counters: int = COUNTERS) -> DataFrame:
-    """Per document ``doc_id, keep_id, group_size, kept, text_sha256``."""
-    digest = F.unhex(F.sha2(normalised(F.col("text").cast("string")), 256))
-    rows = settle(
-        docs.select(
-            digest.alias("digest"),
-            F.struct(
-                F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("doc_id"), F.monotonically_increasing_id().alias("row")
-            ).alias("me"),
-        )
-    )
+def _rows(docs: DataFrame, row: Column) -> DataFrame:
+    """``digest, me``: who a document is, the smallest first, told apart by ``row``."""
+    digest = F.unhex(F.sha2(normalised(docs["text"].cast("string")), 256))
+    me = F.struct(docs["doc_id"].isNull().alias("no_id"), docs["doc_id"].alias("doc_id"), row.alias("row"))
+    return settle(docs.select(digest.alias("digest"), me.alias("me")))
+
+
+def _groups(rows: DataFrame, counters: int) -> DataFrame:
+    """Adds ``group_size`` and ``keep`` to ``digest, me``."""
     winners = frequent_digests(rows, rows.count(), counters)
     split = rows.join(F.broadcast(winners), "digest", "left")
     heavy = split.filter(F.col("keep").isNotNull())
-    group = W.partitionBy("digest")
     rest = split.filter(F.col("keep").isNull()).select("digest", "me")
-    rest = rest.select(
-        "digest", "me", F.count(F.lit(1)).over(group).alias("group_size"), F.min("me").over(group).alias("keep")
-    )
-    return heavy.select("digest", "me", "group_size", "keep").unionByName(rest).select(
+    # Counted with a map-side combine and settled: the join then has plain exchanges, and a digest just below the candidates' share can be split.
+    small = settle(rest.groupBy("digest").agg(F.count(F.lit(1)).alias("group_size"), F.min("me").alias("keep")).filter("group_size > 1"))
+    rest = rest.join(small, "digest", "left").select("digest", "me", F.coalesce("group_size", F.lit(1)).alias("group_size"), F.coalesce("keep", "me").alias("keep"))
+    return heavy.select("digest", "me", "group_size", "keep").unionByName(rest)
+
+
+def exact_dedup(docs: DataFrame, counters: int = COUNTERS) -> DataFrame:
+    """Per document ``doc_id, keep_id, group_size, kept, text_sha256``."""
+    return _groups(_rows(docs, F.monotonically_increasing_id()), counters).select(
         F.col("me.doc_id").alias("doc_id"),
         F.col("keep.doc_id").alias("keep_id"),
         F.col("group_size").cast("long").alias("group_size"),
@@ -86,10 +88,11 @@ def exact_dedup(docs: DataFrame, counters: int = COUNTERS) -> DataFrame:
 
 
 def drop_copies(docs: DataFrame, counters: int = COUNTERS) -> DataFrame:
-    """The documents that stay, with the columns of ``docs``."""
-    own = "__exact_"  # a prefix that no column of a corpus has
-    kept = exact_dedup(docs, counters).filter("kept").select(F.col("doc_id").alias(f"{own}id"), F.col("text_sha256").alias(f"{own}kept"))
-    keyed = docs.withColumn(f"{own}sha", F.sha2(normalised(docs["text"].cast("string")), 256))
-    met = keyed.join(kept, keyed["doc_id"].eqNullSafe(F.col(f"{own}id")) & (F.col(f"{own}sha") == F.col(f"{own}kept")))
-    once = W.partitionBy(f"{own}id", f"{own}kept").orderBy(f"{own}sha")
-    return met.withColumn(f"{own}nth", F.row_number().over(once)).filter(F.col(f"{own}nth") == 1).select(*docs.columns)
+    """The documents that stay, one of each group of equal texts, with the columns of ``docs``.
+
+    Rows go by their own key, so null and repeated ids are no matter; texts are only moved if the table of those that go is too large to broadcast.
+    """
+    keyed, key = with_row_key(docs)
+    groups = _groups(_rows(keyed, keyed[key]), counters)
+    gone = spill(groups.filter("me.row <> keep.row").select(F.col("me.row").alias(key)))
+    return keyed.join(gone, key, "left_anti").select(*docs.columns)
