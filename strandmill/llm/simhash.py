@@ -9,8 +9,8 @@ equal blocks, or blocks that differ in one bit, link; and where all three bits a
 the blocks' own balls meet. Each key emits a star for every set it has linked, never its pairs, and connected
 components give the classes. Only distinct fingerprints go through this; documents join by theirs afterwards.
 
-Defined results: a null text is empty; texts without words share the fingerprint 0; repeated rows stay; a null doc_id is
-never a component's id unless all are null; other columns are ignored; an empty table gives no rows.
+Defined results: a null text is empty; texts without words share the fingerprint 0; very long texts are read whole; repeated rows stay; a null
+doc_id is never a component's id unless all are null; other columns, whatever their names, are ignored or passed through; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -21,19 +21,22 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from strandmill.llm.rowkeys import with_row_key
 from strandmill.llm.textspans import texts_of
 from strandmill.operators.components import connected_components
-from strandmill.session import settle, ship_package
+from strandmill.session import settle, ship_package, spill
 
 SEED = 42
 SHINGLE = 3
 RADIUS = 3
 #: (lowest bit, bits) of the blocks that are left out in turn.
 BLOCKS = ((0, 21), (21, 21), (42, 22))
+N_KEYS = sum(64 - bits + 1 for _, bits in BLOCKS)
+KEYS_PER_TASK = 1 << 20
 
 _hash = functools.partial(xxhash.xxh64_intdigest, seed=SEED)
 _ALL = (1 << 64) - 1
@@ -64,14 +67,17 @@ def fingerprint(text: bytes, size: int = SHINGLE) -> int:
 
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        made = [_signed(fingerprint(t.as_buffer().to_pybytes())) for t in texts_of(batch.column(1))]
-        yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0).cast(pa.int64()), "fp": pa.array(made, pa.int64())})
+        made = [_signed(fingerprint(t.as_buffer().to_pybytes())) for t in texts_of(batch.column(2))]
+        yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0), "row": batch.column(1), "fp": pa.array(made, pa.int64())})
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """``doc_id, fp``: the fingerprint as a signed long."""
+def fingerprints(docs: DataFrame, row: Column | None = None) -> DataFrame:
+    """``doc_id, row, fp``: the fingerprint as a signed long; ``row`` tells rows apart."""
     ship_package(docs.sparkSession)
-    return docs.select(docs["doc_id"].cast("long"), docs["text"].cast("string")).mapInArrow(_fingerprints, "doc_id long, fp long")
+    row = F.monotonically_increasing_id() if row is None else row
+    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), row.alias("row"), docs["text"].cast("string").alias("text")).mapInArrow(
+        _fingerprints, "doc_id long, row long, fp long"
+    )
 
 
 def ball_keys(distinct: DataFrame) -> DataFrame:
@@ -185,23 +191,33 @@ def close_links(distinct: DataFrame) -> DataFrame:
     return met.mapInArrow(_link, "a long, b long").distinct()
 
 
+def _classes(docs: DataFrame, row: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """``doc_id, row, fp, class`` and, per class, its first document: ``c_class, keep``."""
+    rows = settle(fingerprints(docs, row))
+    distinct = settle(rows.select("fp").distinct())
+    # Each fingerprint becomes 131 rows in the next step: tasks are dealt by what they make, not by what they read.
+    parts = max(distinct.sparkSession.sparkContext.defaultParallelism, -(-distinct.count() * N_KEYS // KEYS_PER_TASK))
+    labels = connected_components(close_links(distinct.repartition(parts)))
+    classed = settle(rows.join(labels, rows["fp"] == labels["node"], "left").select("doc_id", "row", "fp", F.coalesce("label", "fp").alias("class")))
+    # Settled first: the join then has plain exchanges on both sides, and a hot class's rows can be split.
+    me = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")
+    return classed, settle(classed.groupBy(F.col("class").alias("c_class")).agg(F.min(me).alias("keep")))
+
+
 def near_dedup(docs: DataFrame) -> DataFrame:
     """Per document ``doc_id, fingerprint`` (16 hex digits) and ``component_id``."""
-    rows = settle(fingerprints(docs))
-    distinct = rows.select("fp").distinct()
-    labels = connected_components(close_links(distinct))
-    classed = settle(
-        rows.join(labels, rows["fp"] == labels["node"], "left").select("doc_id", "fp", F.coalesce("label", "fp").alias("class"))
-    )
-    # Settled first: the join then has plain exchanges on both sides, and a hot class's rows can be split.
-    lowest = settle(classed.groupBy(F.col("class").alias("c_class")).agg(F.min("doc_id").alias("component_id")))
-    return classed.join(lowest, F.col("class") == F.col("c_class"), "left").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+    classed, first = _classes(docs)
+    return classed.join(first, F.col("class") == F.col("c_class"), "left").select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("keep.doc_id").alias("component_id")
     )
 
 
 def drop_near_copies(docs: DataFrame) -> DataFrame:
-    """Of every component the documents with its smallest doc_id, with the columns of ``docs``."""
-    found = near_dedup(docs)
-    kept = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__near_id")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(F.col("__near_id")), "left_semi")
+    """Of every component the first document by doc_id, with the columns of ``docs``.
+
+    Rows go by their own key, so null and repeated ids are no matter; texts are only moved if the table of those that go is too large to broadcast.
+    """
+    keyed, key = with_row_key(docs)
+    classed, first = _classes(keyed, keyed[key])
+    gone = classed.join(first, F.col("class") == F.col("c_class")).filter("row <> keep.row").select(F.col("row").alias(key))
+    return keyed.join(spill(gone), key, "left_anti").select(*docs.columns)
