@@ -9,11 +9,12 @@
 3. Every shard lays its documents end to end in a seeded order and takes whole passes, then a circular run of
    blocks from a seeded first block. A document takes the words of its stretch that were selected.
 
-A shard is (source, hash of doc_id), so a source with a third of all rows is spread over ``shards`` windows.
-All of it is DataFrame expressions.
+A shard is (source, hash of doc_id); there are as many hashes as keep a shard near ``SHARD_ROWS`` rows, so a source with a third of
+all rows is spread over many windows, whatever its size. All of it is DataFrame expressions.
 
-Defined results: null or blank texts have size 0 and take 0; null source is a source of its own, the last;
-repeated rows are documents of their own; a corpus without words has targets of 0; other columns are ignored.
+Defined results: null or blank texts have size 0 and take 0; very long texts are counted whole; null source is a source of its own, the last;
+repeated rows are documents of their own; a corpus without words has targets of 0; other columns, whatever their names, are
+ignored or passed through; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -22,10 +23,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from strandmill.llm.rowkeys import fresh_name, with_row_key
 from strandmill.session import settle
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (3, 1, 2)
+SHARD_ROWS = 1 << 14
 
 
 def word_count(text: Column) -> Column:
@@ -105,18 +108,21 @@ def mix_sources(
     budget: float = 1.5,
     max_repeats: int = 2,
     block: int = 16,
-    shards: int = 64,
+    shard_rows: int = SHARD_ROWS,
     seed: int = 42,
+    row: Column | None = None,
 ) -> DataFrame:
-    """Per document ``doc_id, source, size, source_size, target, quota_words, taken``."""
+    """Per document ``doc_id, row, source, size, source_size, target, quota_words, taken``; ``row`` tells rows apart, if given."""
     sized = settle(
         docs.select(
-            F.col("doc_id").alias("doc_id"),
-            F.col("source").alias("source"),
-            F.pmod(F.xxhash64(F.lit(seed), F.col("doc_id")), F.lit(shards)).cast("int").alias("shard"),
-            word_count(F.col("text")).alias("size"),
+            docs["doc_id"].alias("doc_id"),
+            (F.lit(None).cast("long") if row is None else row).alias("row"),
+            docs["source"].alias("source"),
+            word_count(docs["text"]).alias("size"),
         )
     )
+    shards = max(1, -(-sized.count() // shard_rows))
+    sized = sized.withColumn("shard", F.pmod(F.xxhash64(F.lit(seed), F.col("doc_id")), F.lit(shards)).cast("int"))
     shard_sizes = sized.groupBy("source", "shard").agg(F.sum("size").alias("shard_size"), F.count(F.lit(1)).alias("shard_docs"))
     sources = shard_sizes.groupBy("source").agg(F.sum("shard_size").alias("source_size"))
     seated = source_targets(sources, weights, budget, max_repeats)
@@ -134,7 +140,7 @@ def mix_sources(
         F.col("source").isNull().alias("no_source"), k_source.alias("k_source"), k_shard.alias("shard"), "source_size", "target", "shard_size", (F.col("quota") * block).alias("quota_words")
     )
     joined = keyed.join(limits, ["no_source", "k_source", "shard"], "left")
-    order = W.partitionBy("no_source", "k_source", "shard").orderBy(F.xxhash64(F.lit(seed + 1), "doc_id"), "doc_id", "size")
+    order = W.partitionBy("no_source", "k_source", "shard").orderBy(F.xxhash64(F.lit(seed + 1), "doc_id"), "doc_id", "size", "row")
     end = F.sum("size").over(order.rowsBetween(W.unboundedPreceding, W.currentRow))
     words = F.least(F.col("quota_words"), F.col("shard_size") * max_repeats)
     n_blocks = F.greatest(F.ceil(F.col("shard_size") / block).cast("long"), F.lit(1))
@@ -154,17 +160,18 @@ def mix_sources(
     stop = F.col("first") + F.col("rest")
     picked = overlap(F.col("first"), F.least(stop, F.col("shard_size"))) + overlap(F.lit(0), stop - F.col("shard_size"))
     taken = F.col("passes") * F.col("size") + picked
-    return laid.select("doc_id", "source", "size", "source_size", "target", "quota_words", taken.cast("long").alias("taken"))
+    return laid.select("doc_id", "row", "source", "size", "source_size", "target", "quota_words", taken.cast("long").alias("taken"))
 
 
 def repeat_documents(docs: DataFrame, **parameters) -> DataFrame:
     """The mixed corpus: every document whole, as often as half its words or more were taken (0 to 2 times).
 
     Only the documents at either end of a shard's run are taken in part, so whole documents keep the sources near their targets.
+    Copies go by a row's own key, so null and repeated ids are no matter. Documents without words go.
     """
-    own = "__mix_"  # a prefix that no column of a corpus has
-    mixed = mix_sources(docs, **parameters).filter(F.col("taken") > 0)
-    copies = mixed.select(F.col("doc_id").alias(f"{own}id"), F.round(F.col("taken") / F.col("size")).cast("int").alias(f"{own}copies"))
-    copies = copies.filter(F.col(f"{own}copies") > 0).groupBy(f"{own}id").agg(F.max(f"{own}copies").alias(f"{own}copies"))
-    joined = docs.join(copies, docs["doc_id"].eqNullSafe(F.col(f"{own}id")))
-    return joined.withColumn(f"{own}copy", F.explode(F.sequence(F.lit(1), F.col(f"{own}copies")))).select(*docs.columns)
+    keyed, key = with_row_key(docs)
+    copies, copy = fresh_name(keyed, "copies"), fresh_name(keyed, "copy")
+    mixed = mix_sources(keyed, row=keyed[key], **parameters).filter(F.col("taken") > 0)
+    times = mixed.select(F.col("row").alias(key), F.round(F.col("taken") / F.col("size")).cast("int").alias(copies)).filter(F.col(copies) > 0)
+    repeated = keyed.join(times, key).withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies))))
+    return repeated.select(*docs.columns)
