@@ -7,6 +7,9 @@ would leave exactly these two tokens; a text split into compatible neighbours is
 result is exact, and every position fails at most once, so the time is linear.
 
 Decoder: all tokens' bytes lie in one array; ids index a table of offsets.
+
+Defined results: a null text is empty and has no tokens; very long texts are encoded whole, each pre-token in linear time; repeated rows stay;
+special tokens' strings inside a text are special tokens; other columns, whatever their names, are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -14,7 +17,9 @@ from __future__ import annotations
 import functools
 import hashlib
 import json
+import os
 import re
+import tempfile
 from collections.abc import Callable, Iterator
 
 import ahocorasick
@@ -25,7 +30,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from tokenizers.pre_tokenizers import ByteLevel
 
-from strandmill.llm.textspans import chunks, texts_of
+from strandmill.llm.textspans import CHUNK, chunks, texts_of
 from strandmill.session import ship_package
 
 #: Below this code point Unicode versions agree about letters, numbers and spaces. Other texts are split by the library's own pre-tokenizer.
@@ -216,12 +221,17 @@ def packed(name: str) -> Packed:
 
 
 def ship_vocabulary(docs: DataFrame, path: str) -> str:
-    """Send the vocabulary file to the executors; its name there."""
+    """Send the vocabulary file to the executors; its name there tells its content, so files of one name in two folders are two."""
     ship_package(docs.sparkSession)
-    name = path.replace("\\", "/").rsplit("/", 1)[-1]
-    listed = docs.sparkSession.sparkContext.listFiles
-    if not any(x.rsplit("/", 1)[-1] == name for x in listed):
-        docs.sparkSession.sparkContext.addFile(path)
+    sc = docs.sparkSession.sparkContext
+    with open(path, "rb") as f:
+        content = f.read()
+    name = f"{hashlib.sha256(content).hexdigest()}-{os.path.basename(path)}"
+    if not any(x.rsplit("/", 1)[-1] == name for x in sc.listFiles):
+        copy = os.path.join(tempfile.mkdtemp(prefix="strandmill-"), name)  # only the driver reads it, when it serves the file
+        with open(copy, "wb") as f:
+            f.write(content)
+        sc.addFile(copy)
     return name
 
 
@@ -257,10 +267,14 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabulary(name)
         for batch in batches:
+            made: list[str] = []
+            first = size = 0
             for row in range(batch.num_rows):
-                ids = np.frombuffer(batch.column(1)[row].as_py() or b"", "<u4")
-                text = v.decode(ids).decode("utf-8", "replace")
-                yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0).slice(row, 1).cast(pa.int64()), "text": pa.array([text], pa.string())})
+                made.append(v.decode(np.frombuffer(batch.column(1)[row].as_py() or b"", "<u4")).decode("utf-8", "replace"))
+                size += len(made[-1])
+                if size >= CHUNK or row == batch.num_rows - 1:
+                    yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0).slice(first, len(made)).cast(pa.int64()), "text": pa.array(made, pa.string())})
+                    first, size, made = row + 1, 0, []
 
     return encoded.select(encoded["doc_id"].cast("long"), encoded["ids"].cast("binary")).mapInArrow(run, "doc_id long, text string")
 
