@@ -4,7 +4,8 @@ A passage is removed if a string of ``LENGTH`` bytes that covers it also starts
 sorting for that: each window of LENGTH bytes has an anchor, its smallest ``K``-byte string by hash (the leftmost at
 ties), and equal windows have equal anchors at equal places. Consecutive windows with one anchor form a run.
 
-1. Scan: one row for each run (anchor's hash, digest of the run's text, place), about 1 in 80 bytes.
+1. Scan: one row for each run (anchor's hash, digest of the run's text, place), about 1 in 80 bytes. Equal runs of a document at equal
+   distances, as periodic texts have them, are one row with their number and distance.
 2. Anchors that occur once can't be in a repeated window: a count by hash, combined map-side, leaves the others.
    Equal runs are counted together, and only one of them goes on, with its count.
 3. Sort: suffixes at the anchors, cut to what the run's windows cover, are sorted in runs, front-coded and exchanged by the
@@ -16,8 +17,9 @@ ties), and equal windows have equal anchors at equal places. Consecutive windows
    would hold more than about 25 MB in one task; their windows are counted by hash instead, combined map-side.
 6. Runs take their extents back to all documents, where bytes are removed.
 
-Defined results: a null text is empty; repeated rows are documents of their own (and so repeat each other); null or
-repeated ids are replaced by row numbers inside; other columns are ignored; an empty table gives no rows.
+Defined results: a null text is empty; very long texts are scanned whole, in pieces that overlap; repeated rows are documents of their own (and so
+repeat each other); null or repeated ids are replaced by row numbers inside; ties between equal runs don't matter, all of them go; other columns,
+whatever their names, are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -32,6 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandmill.llm.merge_runs import common, front_code, merge, read_run
+from strandmill.llm.rowkeys import has_plain_ids
 from strandmill.llm.textspans import RollingHash, chunks, owner, texts_of
 from strandmill.session import settle, ship_package, spill
 
@@ -46,7 +49,10 @@ RUN = 1 << 17
 #: Bits for positions below the hash that anchors are ordered by. PIECE + LENGTH and a chunk must fit.
 _POSITION = np.uint64(24)
 
-ANCHORS = "row long, h long, c long, start long, meta int"
+#: meta, from the lowest bits on: windows and bytes from the first window to the anchor (8 bits each), distance between equal runs (8), and
+#: how many more of them follow (32).
+ANCHORS = "row long, h long, c long, start long, meta long"
+_TIMES = "shiftright(meta, 24) + 1"
 
 
 def _runs(data: np.ndarray, offsets: np.ndarray, length: int, k: int) -> tuple[np.ndarray, ...] | None:
@@ -56,7 +62,7 @@ def _runs(data: np.ndarray, offsets: np.ndarray, length: int, k: int) -> tuple[n
         return None
     hashes = RollingHash(data)
     at = np.arange(n - k + 1)
-    h = hashes.spans(at, at + k)
+    h = hashes.quick(at, at + k)  # equal hashes of different anchors only sort together
     value = (h >> _POSITION << _POSITION) | at.astype(np.uint64)
     padded = np.full(-(-len(at) // w) * w, np.iinfo(np.uint64).max, np.uint64)
     padded[: len(at)] = value
@@ -79,6 +85,23 @@ def _runs(data: np.ndarray, offsets: np.ndarray, length: int, k: int) -> tuple[n
     return h[anchor], digest, low, high - low + 1, anchor - low
 
 
+def _periodic(text: np.ndarray, h: np.ndarray, c: np.ndarray, start: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Equal runs of a text at one distance, no further apart than windows reach: the first of each series, the distance, how many follow it."""
+    order = np.lexsort((start, c, h, text))
+    gap = np.diff(start[order], append=0)
+    alike = np.zeros(len(order), bool)
+    for key in (text, h, c):
+        alike[:-1] |= key[order][1:] != key[order][:-1]
+    alike = ~alike & (gap <= length) & (gap < 256)
+    alike[-1:] = False
+    # A series goes on from a row to the next one if they are alike and the distance is the one before it, or none is.
+    goes = alike.copy()
+    goes[1:] &= ~alike[:-1] | (gap[1:] == gap[:-1])
+    first = np.flatnonzero(np.concatenate([[True], ~goes[:-1]]))
+    more = np.diff(np.append(first, len(order))) - 1
+    return order[first], np.where(more > 0, gap[first], 0), more
+
+
 def _scan(length: int, k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -92,10 +115,12 @@ def _scan(length: int, k: int):
                         continue
                     h, c, start, windows, lead = found
                     text = np.zeros(len(h), np.int64) if long else owner(offsets, start)
+                    one, gap, more = _periodic(text, h, c, start, length)
+                    text, h, c, start = text[one], h[one], c[one], start[one]
                     yield pa.RecordBatch.from_pydict(
                         {
                             "row": rows[low + text], "h": h.view(np.int64), "c": c.view(np.int64),
-                            "start": start + at - (0 if long else offsets[text]), "meta": (lead * 256 + windows).astype(np.int32),
+                            "start": start + at - (0 if long else offsets[text]), "meta": more << 24 | gap << 16 | lead[one] << 8 | windows[one],
                         }
                     )
 
@@ -108,7 +133,7 @@ def _contexts(batch: pa.RecordBatch, length: int) -> Iterator[tuple]:
     for i in range(batch.num_rows):
         text = texts[i].as_buffer().to_pybytes()
         for r in asked[i].as_py():
-            yield text, r["h"], r["c"], r["start"], r["meta"] >> 8, r["meta"] & 255, r["n"]
+            yield text, r["h"], r["c"], r["start"], r["meta"] >> 8 & 255, r["meta"] & 255, r["n"]
 
 
 def _sorted_runs(length: int, parts: int):
@@ -250,9 +275,10 @@ def merged_spans(found: list[dict], length: int) -> list[tuple[int, int]]:
     """Byte spans, merged, from runs with their extents."""
     spans = []
     for r in found:
-        anchor = r["start"] + (r["meta"] >> 8)
+        anchor = r["start"] + (r["meta"] >> 8 & 255)
+        further = (r["meta"] >> 24) * (r["meta"] >> 16 & 255)  # the equal runs that follow begin no further apart than a window is long
         pairs = r["found"]
-        spans += [(anchor - pairs[i + 1], anchor - pairs[i] + length) for i in range(0, len(pairs), 2)]
+        spans += [(anchor - pairs[i + 1], anchor - pairs[i] + length + further) for i in range(0, len(pairs), 2)]
     spans.sort()
     out: list[tuple[int, int]] = []
     for low, high in spans:
@@ -292,8 +318,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, k: int = K, crowd: int
     spark = docs.sparkSession
     ship_package(spark)
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    odd = slim.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1 OR doc_id IS NULL")
-    if odd.isEmpty():
+    if has_plain_ids(slim):
         texts = slim.select(F.col("doc_id").alias("row"), "doc_id", "text")
     else:
         texts = spill(slim.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text"))
@@ -302,10 +327,10 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, k: int = K, crowd: int
     texts = texts.filter("row IS NOT NULL")
     anchors = spill(texts.select("row", "text").mapInArrow(_scan(length, k), ANCHORS))
     # Written first, so that the join has plain exchanges on both sides and a hot anchor's rows can be split.
-    twice = spill(anchors.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h"))
+    twice = spill(anchors.groupBy("h").agg(F.sum(F.expr(_TIMES)).alias("n")).filter("n > 1").select("h"))
     live = spill(anchors.join(twice, "h", "left_semi"))
     runs = spill(
-        live.groupBy("h", "c").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("row", "start", "meta")).alias("at")).select("h", "c", "n", "at.*")
+        live.groupBy("h", "c").agg(F.sum(F.expr(_TIMES)).alias("n"), F.min(F.struct("row", "start", "meta")).alias("at")).select("h", "c", "n", "at.*")
     )
     crowds = settle(runs.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > crowd).select("h"))
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-runs.count() // PART))
