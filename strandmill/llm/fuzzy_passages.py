@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandmill.llm.chaining import chains
+from strandmill.llm.rowkeys import has_plain_ids
 from strandmill.llm.textspans import SPACE, RollingHash, chunks, mix, owner, span_bounds, texts_of
 from strandmill.session import ship_package, spill
 
@@ -622,8 +623,7 @@ def shared_passages(docs: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
     """
     ship_package(docs.sparkSession)
     slim = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
-    odd = slim.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1 OR doc_id IS NULL")
-    plain = odd.isEmpty()
+    plain = has_plain_ids(slim)
     if plain:
         texts = slim.select(F.col("doc_id").alias("row"), "text")
     else:

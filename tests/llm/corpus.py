@@ -3,6 +3,7 @@
 import random
 
 CLASHES = ("digest", "row", "size", "keep", "me", "fp", "target", "taken", "n", "key", "h", "words", "k_id", "m_id", "k_sha", "label", "node", "value")
+CLASHES += ("__exact_sha", "__mix_copy", "__near_id", "__rules_text", "row_key", "Row_Key_", "copies", "copy", "no_id", "c_class", "class", "digest_")
 WORDS = ["the", "of", "Éreau", "stone", "münch", "ñu", "license", "mit", "apache", "general", "public", "ok", "x1", "a", "zu"]
 
 

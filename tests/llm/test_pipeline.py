@@ -34,7 +34,7 @@ def test_stages_against_brute_force(spark, tmp_path):
     import random
 
     texts = corpus.awkward_texts(3, 60) + near_texts(random.Random(1))
-    df = corpus.table(spark, texts, clashes=False)
+    df = corpus.table(spark, texts)
     df.write.parquet(str(tmp_path / "documents.parquet"))
     docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
     assert [name for name, _ in corpus_pipeline.STAGES] == ["quality_rules", "exact_dedup", "simhash_near_dedup", "mixing", "bpe_round_trip"]
@@ -43,6 +43,7 @@ def test_stages_against_brute_force(spark, tmp_path):
     for name, stage in corpus_pipeline.STAGES[:3]:
         docs = stage(spark, docs, str(tmp_path))
         assert docs.columns == df.columns
+        assert {tuple(r)[5:] for r in docs.collect()} == {("clash",) * len(corpus.CLASHES)}
         outs.append(sorted(r.doc_id for r in docs.select("doc_id").collect()))
     assert outs[0] == sorted(left)
     first = {}
@@ -72,3 +73,35 @@ def test_stages_take_an_empty_table(spark):
     docs = corpus.empty(spark)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, "").collect() == []
+
+
+def test_null_and_repeated_ids_go_by_row(spark, tmp_path):
+    rng = __import__("random").Random(3)
+    words = [f"w{i}" for i in range(400)]
+    texts = [" ".join(rng.choice(words) for _ in range(60)) for _ in range(8)]
+    rows = [(None, texts[0]), (1, texts[0]), (None, texts[1]), (5, texts[2]), (1, texts[3]), (5, texts[4]), (5, texts[2]), (7, texts[5] + " " * 3), (None, None), (7, "x " * 50_000)]
+    docs = corpus.table(spark, [t for _, t in rows], [i for i, _ in rows], ["s"] * len(rows)).repartition(3)
+    kept = Counter((r.doc_id, r.text) for r in corpus_pipeline.STAGES[1][1](spark, docs, "").collect())
+    expected = [(1, texts[0]), (None, texts[1]), (5, texts[2]), (1, texts[3]), (5, texts[4]), (7, texts[5] + " " * 3), (None, None), (7, "x " * 50_000)]
+    assert kept == Counter(expected)
+    for stage in (2, 3):
+        out = corpus_pipeline.STAGES[stage][1](spark, docs, "")
+        assert out.columns == docs.columns
+    left = Counter((r.doc_id, r.text) for r in corpus_pipeline.STAGES[2][1](spark, docs, "").collect())
+    fps = {t: slow_fingerprint(t) for _, t in rows}
+    classes = brute_classes(fps.values())
+    first = {}
+    for i, t in sorted(rows, key=lambda x: (x[0] is None, x[0] or 0)):
+        first.setdefault(classes[fps[t]], i)
+    assert sum(left.values()) == len(first) and sorted(str(i) for i, _ in left) == sorted(str(i) for i in first.values())
+
+    # Rows of one id are mixed on their own: each is there as often as its own words were taken.
+    three = corpus.table(spark, ["a " * 40, "b " * 40, "c " * 40, "d"], [4, 4, None, 9], ["s", "t", "s", "u"])
+    copies = Counter(r.text for r in mixing.repeat_documents(three).collect())
+    taken = {r.size: r for r in mixing.mix_sources(three).collect()}
+    assert set(copies) <= {"a " * 40, "b " * 40, "c " * 40, "d"} and max(copies.values()) <= 2 and len(taken) == 2
+    sizes = Counter()
+    for t, n in copies.items():
+        sizes[{"a": "s", "b": "t", "c": "s", "d": "u"}[t[0]]] += n * len(t.split())
+    targets = {r.source: r.target for r in mixing.mix_sources(three).collect()}
+    assert all(abs(sizes[k] - v) <= 40 for k, v in targets.items())

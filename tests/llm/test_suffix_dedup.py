@@ -124,3 +124,15 @@ def test_long_texts_are_scanned_in_pieces(spark, monkeypatch):
     covered = lambda batches: {(h, s + i) for b in batches for h, s, m in zip(*[b.column(k).to_pylist() for k in (1, 3, 4)]) for i in range(m & 255)}
     assert len(pieces) > 10 and covered(pieces) == covered([whole])
     assert len(covered([whole])) == 9000 - 199
+
+
+def test_periodic_texts_are_few_rows(spark):
+    import pyarrow as pa
+
+    for period in ("a", "ab", "0123456789" * 3):
+        text = period * (400_000 // len(period))
+        batches = S._scan(200, 48)(iter([pa.RecordBatch.from_pydict({"row": pa.array([0], pa.int64()), "text": pa.array([text])})]))
+        assert sum(b.num_rows for b in batches) <= 4 * len(period) + 8
+    rng = random.Random(11)
+    tail = "".join(rng.choice("abcdefgh") for _ in range(400))
+    check(spark, ["ab" * 400 + tail, "x" + "ab" * 150 + tail[:150], "c" * 5000, "abc" * 90 + "d" + "abc" * 90, tail + "e" * 190, "e" * 190])
