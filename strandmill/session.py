@@ -41,16 +41,25 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``; a temporary one only where that is unset."""
+    """The folder all executors share: ``spark.checkpoint.dir``. A temporary one only where that is unset and there is one machine alone."""
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if configured is None:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share: intermediate tables are written there")
         configured = tempfile.mkdtemp(prefix="strandmill-checkpoints-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(configured)
+        delete_on_exit(spark, sc.getCheckpointDir())
     return configured
 
 
+def delete_on_exit(spark: SparkSession, path: str) -> None:
+    """Remove a folder of intermediate tables when the application ends."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
+
+
 def few_files(df: DataFrame) -> DataFrame:
     """At most ``FILES_PER_CORE`` partitions for each core: intermediate tables are small, and every file costs a few system calls and processes."""
     return df.coalesce(FILES_PER_CORE * df.sparkSession.sparkContext.defaultParallelism)
@@ -63,10 +72,11 @@ def settle(df: DataFrame) -> DataFrame:
 
 
 def spill(df: DataFrame) -> DataFrame:
-    """Like :func:`settle`, but as a compressed Parquet table in the shared folder: for large intermediate tables."""
+    """Like :func:`settle`, but as a compressed Parquet table in the shared folder: for large intermediate tables. It goes with the application."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/strandmill-{uuid.uuid4().hex}"
     few_files(df).write.parquet(path)
+    delete_on_exit(spark, path)  # which takes only what is there
     return spark.read.schema(df.schema).parquet(path)
 
 
