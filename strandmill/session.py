@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -65,6 +66,12 @@ def few_files(df: DataFrame) -> DataFrame:
     return df.coalesce(FILES_PER_CORE * df.sparkSession.sparkContext.defaultParallelism)
 
 
+def release(spark: SparkSession) -> None:
+    """Let go of the shuffle files behind tables that are written by now: Spark's cleaner removes them once nothing refers to them."""
+    gc.collect()
+    spark.sparkContext._jvm.java.lang.System.gc()
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared folder: later steps reread it, and a lost executor loses nothing."""
     shared_dir(df.sparkSession)
@@ -77,6 +84,7 @@ def spill(df: DataFrame) -> DataFrame:
     path = f"{shared_dir(spark)}/strandmill-{uuid.uuid4().hex}"
     few_files(df).write.parquet(path)
     delete_on_exit(spark, path)  # which takes only what is there
+    release(spark)
     return spark.read.schema(df.schema).parquet(path)
 
 
