@@ -28,7 +28,7 @@ from strandmill.session import settle
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (3, 1, 2)
-SHARD_ROWS = 1 << 14
+SHARD_ROWS = 1 << 11
 
 
 def word_count(text: Column) -> Column:
