@@ -35,34 +35,35 @@ def _checked(df: DataFrame, first: str, rules: list[tuple[Column, str]]) -> Data
     return df.withColumn(first, value)
 
 
+def _filled(*columns: str) -> list[tuple[Column, str]]:
+    return [(F.col(c) == "", f"{c} is empty (an unknown value is written *)") for c in columns]
+
+
+def _counted(*columns: str) -> list[tuple[Column, str]]:
+    return [(F.col(c) < 0, f"{c} is negative") for c in columns]
+
+
 def checked_nodes(nodes: DataFrame) -> DataFrame:
-    return _checked(nodes, "name", [(F.col("name") == "", "Node name should be a non-empty string."), (F.col("len") < 0, "Node length should be >= 0."), (F.col("seq") == "", "Node sequence should be a non-empty string. Use * instead.")])
+    """Nodes have a name, a sequence (or *) and a length."""
+    return _checked(nodes, "name", [*_filled("name", "seq"), *_counted("len")])
 
 
 def checked_edges(edges: DataFrame) -> DataFrame:
-    rules = [
-        (F.col("name") == "", "Edge name should be a non-empty string."),
-        (F.col("v") == "", "Source node not specified."),
-        (F.col("w") == "", "Sink node not specified."),
-        (~F.col("v_orient").isin("+", "-"), "Source orientation should be + or -."),
-        (~F.col("w_orient").isin("+", "-"), "Sink orientation should be + or -."),
-        ((F.col("v_start") < 0) | (F.col("v_end") < 0), "Source coordinates should be >= 0."),
-        ((F.col("w_start") < 0) | (F.col("w_end") < 0), "Sink coordinates should be >= 0."),
-        (F.col("v_end") < F.col("v_start"), "Source end coordinate should be >= source start coordinate."),
-        (F.col("w_end") < F.col("w_start"), "Sink end coordinate should be >= sink start coordinate."),
-        (F.col("cigar") == "", "Cigar string should not be empty. Use * instead."),
-    ]
+    """Edges have a name, two oriented nodes, a CIGAR (or *), and on either node a stretch that doesn't run backwards."""
+    rules = _filled("name", "cigar", "v", "w")
+    for side in "v", "w":
+        rules += [
+            (~F.col(f"{side}_orient").isin("+", "-"), f"{side}_orient is neither + nor -"),
+            *_counted(f"{side}_start", f"{side}_end"),
+            (F.col(f"{side}_start") > F.col(f"{side}_end"), f"{side}_start lies behind {side}_end"),
+        ]
     return _checked(edges, "name", rules)
 
 
 def checked_paths(paths: DataFrame) -> DataFrame:
-    rules = [
-        (F.col("name") == "", "Path name should be a non-empty string."),
-        (F.size("nodes") <= 0, "Path nodes should be a non-empty list."),
-        (F.size("cigars") <= 0, "Path cigars should be a non-empty list."),
-        (F.size("nodes") != F.size("cigars"), "Nodes and cigars should have the same length."),
-    ]
-    return _checked(paths, "name", rules)
+    """Paths have a name and, for each of one or more nodes, a CIGAR."""
+    uneven = (F.size("nodes") < 1) | (F.size("nodes") != F.size("cigars"))
+    return _checked(paths, "name", [*_filled("name"), (uneven, "a path takes one CIGAR for each node, and one node at least")])
 
 
 def last_edges(edges: DataFrame, order: str) -> DataFrame:

@@ -135,7 +135,7 @@ def read_overlaps(spark: SparkSession, paths: str | Sequence[str], marker: bool
     if marker:
         whole = W.partitionBy("file")
         end = F.min(F.when(F.col("line").startswith("-"), F.col("ord"))).over(whole)
-        lacking = F.raise_error(F.concat(F.lit("No end-of-file marker for overlap_file "), F.col("file"))).cast("long")
+        lacking = F.raise_error(F.concat(F.lit("The overlap file lacks its last line "), F.col("file"))).cast("long")
         lines = lines.withColumn("end", end).withColumn("end", F.when(F.col("end").isNull(), lacking).otherwise(F.col("end"))).filter("ord < end")
     return split_columns(lines, schema.OVERLAPS, ["file", "ord"])
 

@@ -68,7 +68,7 @@ def test_overlaps_with_and_without_marker(spark, tmp_path):
     assert [(r.q_id, r.score, r.identity, r.tag) for r in rows] == [("000000001", -50, 99.5, "overlap"), ("000000003", -9, 80.0, "none")]
     bad = write(tmp_path / "b.ovl", OVL)
     assert R.read_overlaps(spark, bad).count() == 2
-    with pytest.raises(Exception, match="No end-of-file marker"):
+    with pytest.raises(Exception, match="lacks its last line"):
         R.read_overlaps(spark, bad, marker=True).collect()
     K.write_overlaps(R.read_overlaps(spark, bad), str(tmp_path / "out"))
     assert sorted(lines(tmp_path / "out"))[0] == OVL.splitlines()[0][: -len(" x y")]
