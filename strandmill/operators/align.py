@@ -24,10 +24,14 @@ def mask_kmers(table: DataFrame, threshold: int) -> DataFrame:
     return table.join(frequent, F.col("kmer") == F.col("f_kmer"), "left_anti")
 
 
-def seed_join(queries: DataFrame, targets: DataFrame, k: int, max_count: int | None = None) -> DataFrame:
+#: Target k-mers that occur more often than this are masked unless the caller says otherwise.
+MAX_COUNT = 64
+
+
+def seed_join(queries: DataFrame, targets: DataFrame, k: int, max_count: int | None = MAX_COUNT) -> DataFrame:
     """``q_id, t_id, q_pos, t_pos`` of common k-mers; queries are sampled every k/2 positions.
 
-    With ``max_count`` frequent target k-mers are masked, which also bounds what one key of the join can produce.
+    Target k-mers that occur over ``max_count`` times are masked, which also bounds what one key of the join can produce; None masks none.
     """
     t = kmer_table(targets, k)
     if max_count is not None:

@@ -7,6 +7,7 @@ Marks are tables of (v, w); steps that need all marks at once (spurs) work on th
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import pandas as pd
@@ -317,23 +318,34 @@ def simple_paths(live: DataFrame) -> DataFrame:
     # state: pointer (up) to an edge behind, steps to it, and the smallest node passed on the way
     state = settle(
         links.select(
-            "v", "w", F.col("p_v").alias("u_v"), F.col("p_w").alias("u_w"), F.when(F.col("p_v").isNull(), 0).otherwise(1).cast("long").alias("steps"), F.col("v").alias("low")
+            "v", "w", F.col("p_v").alias("u_v"), F.col("p_w").alias("u_w"), F.when(F.col("p_v").isNull(), 0).otherwise(1).cast("long").alias("steps"), F.col("v").alias("low"), F.lit(False).alias("done")
         )
     )
-    rounds, n_edges = 0, edges.count()
-    while (1 << rounds) <= n_edges and not state.filter("u_v IS NOT NULL").isEmpty():
-        above = state.select(F.col("v").alias("a_v"), F.col("w").alias("a_w"), F.col("u_v").alias("a_uv"), F.col("u_w").alias("a_uw"), F.col("steps").alias("a_steps"), F.col("low").alias("a_low"))
-        open_ = state.filter("u_v IS NOT NULL").join(above, (F.col("u_v") == F.col("a_v")) & (F.col("u_w") == F.col("a_w")))
-        # An edge whose pointer has arrived keeps the head in (h_v, h_w) below; here the pointer of a head is null.
-        jumped = open_.select(
-            "v", "w",
-            F.when(F.col("a_uv").isNull(), F.col("u_v")).otherwise(F.col("a_uv")).alias("u_v"),
-            F.when(F.col("a_uv").isNull(), F.col("u_w")).otherwise(F.col("a_uw")).alias("u_w"),
-            (F.col("steps") + F.when(F.col("a_uv").isNull(), 0).otherwise(F.col("a_steps"))).alias("steps"),
-            F.least("low", "a_low").alias("low"),
+    # Heads have no pointer. An edge that points at a head has arrived and is written once; only open edges go through the rounds. After r rounds
+    # those within 2^r steps of their head have arrived: once as few are open, one round more leaves nothing but rings.
+    heads, open_ = state.filter("u_v IS NULL"), state.filter("u_v IS NOT NULL")
+    arrived, rounds, left, enough = [heads], 0, open_.count(), False
+    while left and not enough:
+        enough = (1 << rounds) >= left
+        above = functools.reduce(DataFrame.unionByName, arrived, open_).select(
+            F.col("v").alias("a_v"), F.col("w").alias("a_w"), F.col("u_v").alias("a_uv"), F.col("u_w").alias("a_uw"), F.col("steps").alias("a_steps"), F.col("low").alias("a_low"), F.col("done").alias("a_done")
+        )
+        met = open_.join(above, (F.col("u_v") == F.col("a_v")) & (F.col("u_w") == F.col("a_w")))
+        at_head = F.col("a_uv").isNull()
+        jumped = settle(
+            met.select(
+                "v", "w",
+                F.when(at_head, F.col("u_v")).otherwise(F.col("a_uv")).alias("u_v"),
+                F.when(at_head, F.col("u_w")).otherwise(F.col("a_uw")).alias("u_w"),
+                (F.col("steps") + F.when(at_head, 0).otherwise(F.col("a_steps"))).alias("steps"),
+                F.least("low", "a_low").alias("low"),
+                (at_head | F.col("a_done")).alias("done"),
+            )
         )
-        state = settle(state.filter("u_v IS NULL").unionByName(jumped))
-        rounds += 1
+        arrived.append(jumped.filter("done"))
+        open_ = jumped.filter("NOT done")
+        rounds, left = rounds + 1, open_.count()
+    state = functools.reduce(DataFrame.unionByName, arrived, open_)
     head = state.filter("u_v IS NULL").select(F.col("v").alias("h_v"), F.col("w").alias("h_w"), F.lit(True).alias("is_head"))
     placed = state.withColumn("t_v", F.coalesce("u_v", "v")).withColumn("t_w", F.coalesce("u_w", "w"))
     placed = placed.join(head, (F.col("t_v") == F.col("h_v")) & (F.col("t_w") == F.col("h_w")), "left")

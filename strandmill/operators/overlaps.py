@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from strandmill.session import settle
+
 
 @dataclass(frozen=True)
 class CoverageLimits:
@@ -95,7 +97,8 @@ def best_overlaps(
     overlaps: DataFrame, ignored: DataFrame, contained: DataFrame, bestn: int, limits: CoverageLimits = CoverageLimits(), group_by: Sequence[str] = ()
 ) -> DataFrame:
     """The best overlaps of each read end. A row that touches both ends counts for the 5' end."""
-    left = without_reads(without_reads(overlaps, ignored), contained, "read_id").filter(accepted(limits))
+    listed = ignored.select("q_id").unionByName(contained.select(F.col("read_id").alias("q_id")))
+    left = without_reads(overlaps.filter(accepted(limits)), listed)
     end = F.when(at_5p(), 0).when(at_3p(), 1)
     rows = left.withColumn("b_end", end).filter("b_end IS NOT NULL").withColumn("b_range", F.col("t_l") - (F.col("t_e") - F.col("t_s")))
     as_text = [F.col(c).cast("string") for c in overlaps.columns]
@@ -104,9 +107,10 @@ def best_overlaps(
 
 
 def filter_overlaps(overlaps: DataFrame, bestn: int = 10, limits: CoverageLimits = CoverageLimits(), group_by: Sequence[str] = ()) -> DataFrame:
-    """All three stages as one plan: coverage, containment, best overlaps per end."""
-    ignored = ignored_reads(overlaps, limits, group_by)
-    return best_overlaps(overlaps, ignored, contained_reads(overlaps, ignored, limits), bestn, limits, group_by)
+    """All three stages: coverage, containment, best overlaps per end. The lists of reads are settled, so each is made once."""
+    ignored = settle(ignored_reads(overlaps, limits, group_by))
+    contained = settle(contained_reads(overlaps, ignored, limits))
+    return best_overlaps(overlaps, ignored, contained, bestn, limits, group_by)
 
 
 def graph_rows(overlaps: DataFrame, min_identity: float = 96.0, min_len: int = 4000) -> DataFrame:

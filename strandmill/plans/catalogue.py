@@ -12,6 +12,7 @@ from strandmill.functions import sequences as S
 from strandmill.operators import align, assembly, components, consensus, gfa, graph, overlaps, paths, stats, tracking
 from strandmill.plans import roles
 from strandmill.plans.roles import BASES_SQL, EDGES_SQL, ITEMS_SQL, MAP_SQL, OVERLAPS_SQL, TILING_SQL, table
+from strandmill.session import settle
 from strandmill.sources import readers
 
 LIMITS = overlaps.CoverageLimits(max_diff=2, max_cov=1000, min_cov=1, min_len=1500)
@@ -151,7 +152,7 @@ worse AS (SELECT v, w FROM r WHERE NOT best_out AND NOT best_in)
 SELECT e.v, e.w, CASE WHEN w2.v IS NULL AND s.v IS NULL AND h.v IS NULL THEN 'G' WHEN w2.v IS NOT NULL THEN 'R' WHEN s.v IS NOT NULL THEN 'S' ELSE 'TR' END AS type
 FROM edge e LEFT JOIN hop h ON h.v = e.v AND h.w = e.w LEFT JOIN spur s ON s.v = e.v AND s.w = e.w LEFT JOIN worse w2 ON w2.v = e.v AND w2.w = e.w""")
 def q_edge_type(spark, sf_dir):
-    edges = roles.edges(spark, sf_dir)
+    edges = settle(roles.edges(spark, sf_dir))
     none = edges.select("v", "w").limit(0)
     return graph.typed_edges(edges, graph.two_hop_reduction(edges), none, graph.not_best_edges(edges, none), graph.spur_edges(edges, none)).select("v", "w", "type")
 
@@ -418,10 +419,13 @@ def q_subpath(spark, sf_dir):
     return paths.sub_paths(located, ranges).select("ctg_id", "ord", "v", "w", "new_start", "new_end")
 
 
-@query("""SELECT user_id, event_id AS ord, max(CASE WHEN event_type = 'click' THEN event_id END) OVER (PARTITION BY user_id ORDER BY event_id) AS id FROM events""")
+@query("""WITH c AS (SELECT *, max(CASE WHEN event_type = 'click' THEN event_id END) OVER (PARTITION BY user_id ORDER BY event_id) AS id FROM events)
+SELECT id, event_id % 500 AS length FROM c WHERE event_type <> 'click'""")
 def q_carry_forward(spark, sf_dir):
-    w = W.partitionBy("user_id").orderBy("event_id").rowsBetween(W.unboundedPreceding, W.currentRow)
-    return table(spark, sf_dir, "events").select("user_id", F.col("event_id").alias("ord"), F.last(F.when(F.col("event_type") == "click", F.col("event_id")), ignorenulls=True).over(w).alias("id"))
+    click = F.concat(F.lit("R "), F.col("event_id"))
+    span = F.concat(F.lit("L 7 10 "), F.col("event_id") % 500 + 10)
+    lines = table(spark, sf_dir, "events").select("user_id", F.col("event_id").alias("ord"), F.when(F.col("event_type") == "click", click).otherwise(span).alias("line"))
+    return readers.keyed_dump_lengths(lines, ["user_id"])
 
 
 _LINE = "SELECT cast(user_id as string) AS stream, event_id AS ord, CASE event_type WHEN 'error' THEN '+' WHEN 'view' THEN '*' ELSE 'r' || cast(event_id as string) END AS read_id, 'seq' || cast(event_id as string) AS sequence FROM events"
@@ -471,7 +475,7 @@ def q_kmer_mask(spark, sf_dir):
     return align.mask_kmers(align.kmer_table(_items(spark, sf_dir), 8), 4)
 
 
-SEED_SQL = f"{KMER_SQL}, seeds AS (SELECT q.id AS q_id, t.id AS t_id, cast(q.pos as int) AS q_pos, cast(t.pos as int) AS t_pos FROM km q JOIN km t ON q.kmer = t.kmer WHERE q.pos % 4 = 0)"
+SEED_SQL = f"{KMER_SQL}, seeds AS (SELECT q.id AS q_id, t.id AS t_id, cast(q.pos as int) AS q_pos, cast(t.pos as int) AS t_pos FROM km q JOIN km t ON q.kmer = t.kmer WHERE q.pos % 4 = 0 AND t.kmer NOT IN (SELECT kmer FROM km GROUP BY kmer HAVING count(*) > {align.MAX_COUNT}))"
 
 
 @query(f"WITH {ITEMS_SQL}, {SEED_SQL} SELECT q_id, t_id, q_pos, t_pos FROM seeds")
@@ -504,10 +508,11 @@ def q_wrap(spark, sf_dir):
     return roles.bases(spark, sf_dir).select("id", S.wrap(F.col("sequence"), 60).alias("wrapped"))
 
 
-@query("SELECT doc_id AS id, md5(text) AS md5, split_part(source || '/' || lang, '/', 1) AS name FROM documents")
+@query("SELECT doc_id AS key, source || '/' || lang AS name, md5(text) AS md5, cast(length(text) as int) AS length FROM documents")
 def q_md5(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
-    return docs.select(F.col("doc_id").alias("id"), F.md5("text").alias("md5"), F.split_part(F.concat_ws("/", "source", "lang"), F.lit("/"), F.lit(1)).alias("name"))
+    records = docs.select(F.col("doc_id").alias("key"), *readers.sequence_records(F.concat_ws("/", "source", "lang"), F.col("text")))
+    return records.select("key", "name", "md5", "length")
 
 
 @query(f"WITH {EDGES_SQL} SELECT v, w, {_flip('w')} AS dual_v, {_flip('v')} AS dual_w, split_part(v, ':', 1) AS read, CASE WHEN split_part(v, ':', 2) = 'E' THEN '+' ELSE '-' END AS orient FROM edge")

@@ -142,6 +142,18 @@ def test_simple_paths_chains_and_rings(spark):
     assert found[path][3] == sum(edges[e][0] for e in zip(path, path[1:]))
 
 
+def test_simple_paths_of_every_length(spark):
+    edges, lengths = [], [*range(1, 20), 31, 32, 33, 34]
+    for n in lengths:
+        edges += [(f"c{n}_{k:03d}:E", f"c{n}_{k + 1:03d}:E", 1, 1) for k in range(n)]
+    rings = [2, 3, 4, 5, 8, 9]
+    for n in rings:
+        edges += [(f"r{n}_{k:03d}:E", f"r{n}_{(k + 1) % n:03d}:E", 1, 1) for k in range(n)]
+    live = spark.createDataFrame(edges, "v string, w string, length long, score long")
+    found = sorted((r.s, r.length) for r in graph.simple_paths(live).collect())
+    assert found == sorted([(f"c{n}_000:E", n) for n in lengths] + [(f"r{n}_000:E", n) for n in rings])
+
+
 def test_components(spark):
     rng = random.Random(5)
     edges = [(rng.randint(0, 80), rng.randint(0, 80)) for _ in range(50)] + [(i, i + 1) for i in range(200, 260)]
