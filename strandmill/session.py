@@ -5,6 +5,7 @@ from __future__ import annotations
 import gc
 import os
 import tempfile
+import time
 import uuid
 import zipfile
 from collections.abc import Iterable, Sequence
@@ -67,9 +68,14 @@ def few_files(df: DataFrame) -> DataFrame:
 
 
 def release(spark: SparkSession) -> None:
-    """Let go of the shuffle files behind tables that are written by now: Spark's cleaner removes them once nothing refers to them."""
-    gc.collect()
-    spark.sparkContext._jvm.java.lang.System.gc()
+    """Let go of the shuffle files behind tables that are written by now: Spark's cleaner removes them once nothing refers to them.
+
+    To be called where the written table's origin isn't known any more, not inside the function that writes it.
+    """
+    for _ in range(2):  # what Python forgets is only let go of by the JVM a moment later
+        gc.collect()
+        spark.sparkContext._jvm.java.lang.System.gc()
+        time.sleep(0.4)
 
 
 def settle(df: DataFrame) -> DataFrame:
@@ -84,7 +90,6 @@ def spill(df: DataFrame) -> DataFrame:
     path = f"{shared_dir(spark)}/strandmill-{uuid.uuid4().hex}"
     few_files(df).write.parquet(path)
     delete_on_exit(spark, path)  # which takes only what is there
-    release(spark)
     return spark.read.schema(df.schema).parquet(path)
 
 
