@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from strandmill.llm.chaining import chains
 from strandmill.llm.rowkeys import has_plain_ids
 from strandmill.llm.textspans import SPACE, RollingHash, chunks, mix, owner, span_bounds, texts_of
-from strandmill.session import ship_package, spill
+from strandmill.session import release, ship_package, spill
 
 SHINGLE = 5
 #: Bands of a sketch: words past a seed's end, and as many before its begin.
@@ -633,6 +633,7 @@ def shared_passages(docs: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
 
     todo, margin, rounds = spill(matched_chains(texts, part_bytes)), MARGIN, []
     while True:
+        release(docs.sparkSession)  # the seeds' blocks, or the texts of the round before
         asked = todo.groupBy("row").agg(F.collect_list(F.struct("hub", "row", "x", "y")).alias("chains"))
         cut = texts.join(asked, "row").select("text", "chains", "row").mapInArrow(_cut_out(margin), "hub long, row long, x array<int>, y array<int>, begin int, more boolean, words binary")
         sides = texts.join(cut.withColumnRenamed("row", "other").withColumnRenamed("hub", "row"), "row")
