@@ -172,10 +172,11 @@ def tilings(contigs: DataFrame, unitigs: DataFrame, edges: DataFrame) -> DataFra
     return hops.join(full, (F.col("v") == F.col("x_v")) & (F.col("w") == F.col("x_w"))).drop("x_v", "x_w")
 
 
-def tiling_sequences(tiling: DataFrame, reads: DataFrame, proper: bool = True) -> DataFrame:
-    """``ctg_id, bubble, path, sequence, length, score, n_edges``: edge slices joined in order.
+def tiling_sequences(tiling: DataFrame, reads: DataFrame, proper: bool = True, proper_alternatives: bool = False) -> DataFrame:
+    """``ctg_id, bubble, path, sequence, length, score, n_edges, first_node, last_node``: edge slices joined in order.
 
-    ``proper`` puts the first read before a path that isn't circular. reads: ``id, sequence``.
+    ``proper`` puts the first read before a primary path that isn't circular, ``proper_alternatives`` before the paths of bubbles.
+    reads: ``id, sequence``.
     """
     named = reads.select(F.col("id").alias("r_id"), F.upper("sequence").alias("r_seq"))
     met = tiling.join(named, F.col("wrid") == F.col("r_id"))
@@ -191,14 +192,27 @@ def tiling_sequences(tiling: DataFrame, reads: DataFrame, proper: bool = True) -
         F.max_by("w", "ord").alias("last_node"),
     )
     body = F.array_join(F.transform("pieces", lambda p: p["piece"]), "")
-    if not proper:
+    if not (proper or proper_alternatives):
         return joined.withColumn("sequence", body).drop("pieces")
     led = joined.join(named, node_read(F.col("first_node")) == F.col("r_id"), "left")
     lead = F.when(F.col("first_node").endswith(":E"), F.col("r_seq")).otherwise(reverse_complement(F.col("r_seq")))
-    lead = F.when(F.col("first_node") == F.col("last_node"), F.lit("")).otherwise(lead)
+    bare = F.when(F.col("bubble") == 0, F.lit(not proper)).otherwise(F.lit(not proper_alternatives))
+    lead = F.when(bare | (F.col("first_node") == F.col("last_node")), F.lit("")).otherwise(lead)
     return led.withColumn("sequence", F.concat(lead, body)).drop("pieces", "r_id", "r_seq")
 
 
+def named_tiling(tiling: DataFrame, kind: str) -> DataFrame:
+    """Rows under the names that their sequences have: ``primary`` paths, ``alternative`` ones, or the ``base`` ones that alternatives lie beside."""
+    rows = tiling.filter({"primary": "bubble = 0", "alternative": "bubble > 0 AND path > 0", "base": "bubble > 0 AND path = 0"}[kind])
+    return rows if kind == "primary" else rows.withColumn("ctg_id", alternative_name(F.col("ctg_id"), F.col("bubble"), F.col("path")))
+
+
+def base_contigs(sequences: DataFrame) -> DataFrame:
+    """What the primary contigs have where alternatives lie: like ``alternative_contigs``, each equal to itself."""
+    rows = sequences.filter("bubble > 0 AND path = 0").withColumn("name", alternative_name(F.col("ctg_id"), F.col("bubble"), F.col("path")))
+    return rows.withColumn("delta_len", F.lit(0)).withColumn("identity", F.lit(1.0)).withColumn("coverage", F.lit(1.0))
+
+
 def alternative_contigs(sequences: DataFrame) -> DataFrame:
     """Alternatives with ``name, delta_len, identity, coverage`` against path 0 of their bubble; short ones (2,000 bases) aren't aligned."""
     base = sequences.filter("bubble > 0 AND path = 0").select(F.col("ctg_id").alias("b_ctg"), F.col("bubble").alias("b_bubble"), F.col("sequence").alias("base_seq"))

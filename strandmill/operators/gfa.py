@@ -131,6 +131,24 @@ def string_graph_edges(edges: DataFrame, overlaps: DataFrame) -> DataFrame:
     return _with_overlaps(last_edges(steps, "nth"), overlaps, F.format_string("edge-%d", F.col("nth")))
 
 
+def with_string_graph(graph: GfaGraph, edges: DataFrame, reads: DataFrame, overlaps: DataFrame) -> GfaGraph:
+    """A tiling graph with the reads and live edges of the whole string graph; what both have is kept once, the tiling graph's names first.
+
+    edges: typed string-graph edges; reads and overlaps as in ``tiling_graph``. Added edges are numbered on from the graph's own.
+    """
+    used = edges.select(F.explode(F.array(node_read(F.col("v")), node_read(F.col("w")))).alias("u_name")).distinct()
+    own = graph.nodes.select(F.col("name").alias("own_name"))
+    nodes = reads.join(used, F.col("name") == F.col("u_name"), "left_semi").join(own, F.col("name") == F.col("own_name"), "left_anti").select(*NODE_COLUMNS)
+    taken = graph.edges.select(F.col("v").alias("own_v"), F.col("w").alias("own_w"))
+    steps = edges.filter("type = 'G'").select("v", "w")
+    steps = steps.join(taken, (node_read(F.col("v")) == F.col("own_v")) & (node_read(F.col("w")) == F.col("own_w")), "left_anti")
+    more = string_graph_edges(steps.withColumn("type", F.lit("G")), overlaps)
+    number = F.regexp_extract("name", r"(\d+)$", 1).cast("long")
+    first = graph.edges.agg(F.coalesce(F.max(number) + 1, F.lit(0))).first()[0]
+    more = more.withColumn("name", F.format_string("edge-%d", number + first))
+    return GfaGraph(graph.nodes.unionByName(checked_nodes(nodes)), graph.edges.unionByName(checked_edges(more)), graph.paths)
+
+
 def contig_graph(primary: DataFrame, alternatives: DataFrame, p_contigs: DataFrame, a_contigs: DataFrame, whitelist: DataFrame | None = None) -> GfaGraph:
     """Contigs as nodes, two edges for each alternative: out of its primary contig and back.
 

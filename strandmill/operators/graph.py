@@ -256,12 +256,18 @@ def typed_edges(edges: DataFrame, reduced: DataFrame, chimeric: DataFrame, remov
 
 def string_graph(edges: DataFrame, remove_chimeras: bool = True, local_flow: bool = False) -> DataFrame:
     """Typed edges after transitive reduction, chimera, spur and best-overlap (or local-flow) removal."""
+    return string_graph_and_chimeras(edges, remove_chimeras, local_flow)[0]
+
+
+def string_graph_and_chimeras(edges: DataFrame, remove_chimeras: bool = True, local_flow: bool = False) -> tuple[DataFrame, DataFrame]:
+    """The edges of ``string_graph`` and the chimeric nodes, ``node``."""
     edges = settle(edges)
     marks = reduced = settle(transitive_edges(edges))
     empty = edges.select("v", "w").limit(0)
-    chimeric = empty
+    chimeric, nodes = empty, empty.select(F.col("v").alias("node"))
     if remove_chimeras:
-        chimeric = settle(with_duals(edges_at(edges, chimeric_nodes(edges, marks))))
+        nodes = settle(chimeric_nodes(edges, marks))
+        chimeric = settle(with_duals(edges_at(edges, nodes)))
         marks = settle(marks.unionByName(chimeric).distinct())
         chimeric = settle(chimeric.exceptAll(reduced))
     spurs = settle(spur_edges(edges, marks))
@@ -269,7 +275,7 @@ def string_graph(edges: DataFrame, remove_chimeras: bool = True, local_flow: boo
     removed = settle(repeat_edges(edges, marks) if local_flow else not_best_edges(edges, marks))
     marks = settle(marks.unionByName(removed).distinct())
     spurs = spurs.unionByName(spur_edges(edges, marks)).distinct()
-    return typed_edges(edges, reduced, chimeric, removed, spurs)
+    return typed_edges(edges, reduced, chimeric, removed, spurs), nodes
 
 
 def repeat_bridges(unitigs: DataFrame, max_length: int = 60000) -> DataFrame:

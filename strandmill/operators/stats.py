@@ -48,7 +48,7 @@ def read_stats(histogram: DataFrame, percentile: float = 0.95) -> DataFrame:
         F.max("total").alias("total"),
         F.max(F.when(F.col("bases") >= F.floor(F.col("total") * 0.5), F.col("rl"))).alias("n50"),
         F.min(F.when(F.col("upto") > F.floor(F.col("nreads") * percentile), F.col("rl"))).alias("p95"),
-        (F.sum(F.col("rl") * F.col("rl") * F.col("count")) / F.max("total")).alias("esize"),
+        (F.sum(F.col("rl") * F.col("rl") * F.col("count").cast("decimal(20,0)")).cast("double") / F.max("total")).alias("esize"),
     )
 
 

@@ -20,22 +20,27 @@ class Assembly:
     contigs: DataFrame
     tiling: DataFrame
     sequences: DataFrame
+    all_alternatives: DataFrame
     alternatives: DataFrame
+    chimeras: DataFrame
 
 
 def assemble(rows: DataFrame, reads: DataFrame, config: AssemblyConfig = AssemblyConfig()) -> Assembly:
-    """rows: ``schema.OVERLAPS``; reads: ``id, sequence``. Of several overlaps of a pair the one that sorts first by ids and score counts."""
+    """``alternatives`` are without those that are nearly the primary path; ``chimeras`` are the nodes (``node``) whose edges went as chimeric.
+
+    rows: ``schema.OVERLAPS``; reads: ``id, sequence``. Of several overlaps of a pair the one that sorts first by ids and score counts."""
     limits = overlaps.CoverageLimits(config.max_diff, config.max_cov, config.min_cov, config.min_len)
     kept = settle(overlaps.filter_overlaps(rows, config.bestn, limits))
     proper = overlaps.graph_rows(kept, config.min_identity, config.min_len)
     order = [F.col(c) for c in ("q_id", "score", "t_id", "q_s", "t_s")]
-    edges = settle(graph.string_graph(graph.overlap_edges(proper, order), config.remove_chimeras, config.local_flow))
+    typed, chimeras = graph.string_graph_and_chimeras(graph.overlap_edges(proper, order), config.remove_chimeras, config.local_flow)
+    edges = settle(typed)
     live = edges.filter("type = 'G'")
     unitigs = settle(assembly.simplify_unitigs(graph.simple_paths(live)))
     best_in = graph.best_edges(live).filter("best_in").select(F.col("w").alias("node"), F.col("v").alias("best"))
     kept_unitigs = unitigs.filter(F.col("type").isin("simple", "compound", "contained"))
     contigs = settle(assembly.contig_paths(unitigs, None if config.local_flow else best_in))
     tiling = settle(assembly.tilings(assembly.laid_out(contigs), kept_unitigs, live))
-    sequences = assembly.tiling_sequences(tiling, reads, proper=not config.improper_contigs)
-    alternatives = assembly.distinct_alternatives(assembly.alternative_contigs(sequences))
-    return Assembly(kept, edges, unitigs, contigs, tiling, sequences, alternatives)
+    sequences = settle(assembly.tiling_sequences(tiling, reads, not config.improper_contigs, config.proper_alternatives))
+    found = settle(assembly.alternative_contigs(sequences))
+    return Assembly(kept, edges, unitigs, contigs, tiling, sequences, found, assembly.distinct_alternatives(found), chimeras)

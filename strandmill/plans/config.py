@@ -27,6 +27,7 @@ class AssemblyConfig:
     remove_chimeras: bool = True
     local_flow: bool = False
     improper_contigs: bool = False
+    proper_alternatives: bool = False
 
     def __post_init__(self):
         if self.length_cutoff < 0 and self.genome_size < 1 and self.length_cutoff != -1:

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import configparser
 import json
+import math
 import posixpath
+import re
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
@@ -227,6 +229,47 @@ def read_fofn(spark: SparkSession, path: str) -> list[str]:
     return found
 
 
+def absolute_paths(spark: SparkSession, path: str) -> list[str]:
+    """Paths listed in a text file, absolute by the list's folder; whether they are there isn't looked at."""
+    folder = posixpath.dirname(path)
+    listed = [r[0].strip() for r in spark.read.text(path).collect() if r[0].strip()]
+    return [p if posixpath.isabs(p) or "://" in p else posixpath.normpath(posixpath.join(folder, p)) for p in listed]
+
+
+def block_count(lines: DataFrame) -> int:
+    """The number in a database's first line ``blocks = N``; 1 without one. lines: ``ord, line``."""
+    found = lines.select("ord", F.regexp_extract("line", r"^\s*blocks\s+=\s+(\d+)", 1).alias("n")).filter("n <> ''")
+    first = found.agg(F.min_by(F.col("n").cast("int"), "ord")).first()[0]
+    return 1 if first is None else first
+
+
+def mask_tracks(spark: SparkSession, root: str, name: str) -> list[str]:
+    """Names of a database's mask tracks, sorted: its files ``.<name>.<track>.anno`` in ``root``.
+
+    The folder is listed through Hadoop's file system, as Spark's own readers pass over hidden files.
+    """
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(root)
+    system = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    pattern = re.compile(rf"\.{re.escape(name)}\.([^.]+)\.anno")
+    met = (pattern.fullmatch(s.getPath().getName()) for s in system.listStatus(folder))
+    return sorted(m.group(1) for m in met if m)
+
+
+def check_block_pairs(files: Sequence[str]) -> list[str]:
+    """The files of an all-against-all comparison by name; raises unless there is one for each pair of blocks, a square number."""
+    if math.isqrt(len(files)) ** 2 != len(files):
+        raise ValueError(f"{len(files)} files aren't a square number: some of the comparison's files are missing")
+    return sorted(files, key=posixpath.basename)
+
+
+def check_block_sequence(blocks: Sequence[int]) -> None:
+    """Raises unless the blocks are numbered from 1 without a gap. A block may be named more than once."""
+    named = sorted(set(blocks))
+    if named != list(range(1, len(named) + 1)):
+        raise ValueError(f"blocks aren't numbered from 1 to {len(named)}: {named}")
+
+
 def find_files(spark: SparkSession, root: str, pattern: str) -> list[str]:
     """Paths below ``root`` whose names match, sorted."""
     rows = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(root).select("path")

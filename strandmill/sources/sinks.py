@@ -3,13 +3,19 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandmill.functions.sequences import wrap
+from strandmill.operators.assembly import base_contigs, named_tiling
 from strandmill.operators.gfa import EDGE_COLUMNS, NODE_COLUMNS, PATH_COLUMNS, GfaGraph, gfa1_lines, gfa2_lines
 
+# Fixed value: the line that ends an overlap file.
+OVERLAP_END = "---"
+
 
 def fasta_text(records: DataFrame, width: int | None = 60) -> DataFrame:
     """``value``: a record's header and its sequence in lines of ``width`` letters (None: one line)."""
@@ -33,9 +39,18 @@ def overlap_text(overlaps: DataFrame) -> DataFrame:
     return overlaps.select(F.concat_ws(" ", *[F.format_string("%.2f", c) if c == "identity" else F.col(c).cast("string") for c in columns]).alias("value"))
 
 
-def write_overlaps(overlaps: DataFrame, path: str) -> None:
-    """Rows as text; Spark's ``_SUCCESS`` file says that the write is complete."""
-    overlap_text(overlaps).write.text(path)
+def write_overlaps(overlaps: DataFrame, path: str, marker: bool = False) -> None:
+    """Rows as text; Spark's ``_SUCCESS`` file says that the write is complete. With ``marker`` each file that has rows ends with the line ``---``."""
+    rows = overlap_text(overlaps)
+    if marker:
+
+        def closed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield pa.RecordBatch.from_arrays(batch.columns, names=["value"])
+            yield pa.RecordBatch.from_arrays([pa.array([OVERLAP_END])], names=["value"])
+
+        rows = rows.mapInArrow(closed, "value string")
+    rows.write.option("maxRecordsPerFile", 0).text(path)
 
 
 def edge_text(edges: DataFrame) -> DataFrame:
@@ -68,6 +83,42 @@ def write_text(rows: DataFrame, path: str) -> None:
     rows.select("value").write.text(path)
 
 
+def track_text(tracks: DataFrame) -> DataFrame:
+    return tracks.select(F.concat_ws(" ", *[F.col(c).cast("string") for c in ("bread", "ctg", "count", "rank", "score", "in_ctg")]).alias("value"))
+
+
+def write_tiling(tiling: DataFrame, path: str) -> None:
+    """Tiling rows as text, each contig in one file and in order of its path, so that they can be read back. tiling: with ``ord``."""
+    placed = tiling.repartition("ctg_id").sortWithinPartitions("ctg_id", "ord")
+    tiling_text(placed).write.option("maxRecordsPerFile", 0).text(path)
+
+
+def primary_records(sequences: DataFrame, contigs: DataFrame) -> DataFrame:
+    """``name, sequence`` of primary contigs; names end with the contig's ends, type, length and score."""
+    known = contigs.select(F.col("ctg_id").alias("k_id"), F.concat_ws("~", "start_edge", "end_node").alias("label"), "type", F.col("length").alias("k_length"), F.col("score").alias("k_score"))
+    met = sequences.filter("bubble = 0").join(known, F.col("ctg_id") == F.col("k_id"))
+    return met.select(F.concat_ws(" ", "ctg_id", "label", "type", F.col("k_length").cast("string"), F.col("k_score").cast("string")).alias("name"), "sequence")
+
+
+def alternative_records(alternatives: DataFrame) -> DataFrame:
+    """``name, sequence``; names end with first and last node, length, score, number of edges, difference in length, identity and coverage."""
+    counts = [F.col(c).cast("string") for c in ("length", "score", "n_edges", "delta_len")]
+    shares = [F.format_string("%.2f", c) for c in ("identity", "coverage")]
+    return alternatives.select(F.concat_ws(" ", "name", "first_node", "last_node", *counts, *shares).alias("name"), "sequence")
+
+
+def write_contigs(sequences: DataFrame, contigs: DataFrame, tiling: DataFrame, all_alternatives: DataFrame, path: str) -> None:
+    """Sequences and tiling paths of primary contigs, of alternatives and of what these lie beside: six folders below ``path``."""
+    records = {
+        "primary": primary_records(sequences, contigs),
+        "alternative": alternative_records(all_alternatives),
+        "base": alternative_records(base_contigs(sequences)),
+    }
+    for kind, rows in records.items():
+        write_fasta(rows, f"{path}/{kind}", width=None)
+        write_tiling(named_tiling(tiling, kind), f"{path}/{kind}_tiling")
+
+
 def write_gfa1(graph: GfaGraph, path: str) -> None:
     gfa1_lines(graph).orderBy("section", "line").select(F.col("line").alias("value")).write.text(path)
 

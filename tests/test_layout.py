@@ -43,7 +43,7 @@ def laid_out(spark, rng, alike):
 def test_bubble_layout(spark):
     edges, reads, by, unitigs, contigs, tiling = laid_out(spark, random.Random(1), False)
     assert sorted(r.ctg_id for r in contigs.collect()) == ["000000F", "000000R"]
-    sequences = assembly.tiling_sequences(tiling, reads)
+    sequences = assembly.tiling_sequences(tiling, reads, proper_alternatives=True)
     (primary,) = sequences.filter("bubble = 0").collect()
     forward = by["a"] + by["b"][400:] + by["p"][400:] + by["r"][400:] + by["c"][400:] + by["d"][400:]
     comp = str.maketrans("ACGT", "TGCA")
