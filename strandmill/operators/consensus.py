@@ -8,7 +8,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -36,33 +36,38 @@ def pile_rows(lines: DataFrame) -> DataFrame:
     rows = rows.filter("ended = 0").withColumn("pile", F.coalesce(F.sum(F.when(closes, 1).otherwise(0)).over(before), F.lit(0)))
     whole = W.partitionBy("stream", "pile")
     rows = rows.withColumn("closed", F.max(F.when(F.col("read_id") == "+", 1)).over(whole))
-    cut = F.when(F.length("sequence") > MAX_READ, F.substring("sequence", 1, MAX_READ - 1)).otherwise(F.col("sequence"))
-    return rows.filter("closed = 1").filter(~F.col("read_id").isin("+", "*", "-")).select("stream", "pile", "ord", "read_id", cut.alias("sequence"))
+    return rows.filter("closed = 1").filter(~F.col("read_id").isin("+", "*", "-")).select("stream", "pile", "ord", "read_id", _cut_read().alias("sequence"))
+
+
+def _cut_read() -> Column:
+    return F.when(F.length("sequence") > MAX_READ, F.substring("sequence", 1, MAX_READ - 1)).otherwise(F.col("sequence"))
 
 
 def piles(rows: DataFrame, config: ConsensusConfig = ConsensusConfig()) -> DataFrame:
     """``stream, pile, seed_id, seed, reads array<string>``: accepted piles, their reads longest first.
 
     The first long enough read is the seed and also votes; a read id counts once. A pile needs ``min_n_read`` entries (seed
-    included twice) and coverage ``min_cov_aln`` of its seed; excess reads are cut off longest first.
+    included twice) and coverage ``min_cov_aln`` of its seed; excess reads are cut off longest first. Too long reads are cut as in
+    ``pile_rows``. Windows see lengths; a sequence moves once, with its own row.
     """
-    long = rows.filter(F.length("sequence") >= config.min_len_aln)
+    long = rows.filter(F.length("sequence") >= config.min_len_aln).withColumn("sequence", _cut_read()).withColumn("n", F.length("sequence"))
     w = W.partitionBy("stream", "pile").orderBy("ord")
     once = W.partitionBy("stream", "pile", "read_id").orderBy("ord")
-    kept = long.withColumn("seed_id", F.first("read_id").over(w)).withColumn("seed", F.first("sequence").over(w))
-    kept = kept.withColumn("nth", F.row_number().over(once)).filter("nth = 1").withColumn("n", F.length("sequence"))
+    kept = long.withColumn("seed_n", F.first("n").over(w)).withColumn("at", F.row_number().over(w))
+    kept = kept.withColumn("nth", F.row_number().over(once)).filter("nth = 1")
     # A read stays while the reads before it, longest first, cover the seed at most max_cov_aln times.
     ranked = W.partitionBy("stream", "pile").orderBy(F.col("n").desc(), "ord")
     kept = kept.withColumn("rank", F.row_number().over(ranked)).withColumn("bases", F.coalesce(F.sum("n").over(ranked.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
-    over = F.lit(False) if config.max_cov_aln <= 0 else floor_div(F.col("bases"), F.length("seed")) > config.max_cov_aln
+    over = F.lit(False) if config.max_cov_aln <= 0 else floor_div(F.col("bases"), F.col("seed_n")) > config.max_cov_aln
     whole = W.partitionBy("stream", "pile")
-    kept = kept.withColumn("reads_n", F.count(F.lit(1)).over(whole)).withColumn("cov", floor_div(F.sum("n").over(whole), F.length("seed")))
+    kept = kept.withColumn("reads_n", F.count(F.lit(1)).over(whole)).withColumn("cov", floor_div(F.sum("n").over(whole), F.col("seed_n")))
     kept = kept.filter((F.col("reads_n") + 1 >= config.min_n_read) & (F.col("cov") >= config.min_cov_aln))
-    kept = kept.filter(~over & (F.col("rank") <= config.max_n_read - 1))
-    grouped = kept.groupBy("stream", "pile").agg(
-        F.first("seed_id").alias("seed_id"), F.first("seed").alias("seed"), F.sort_array(F.collect_list(F.struct("rank", "sequence"))).alias("ranked")
-    )
-    return grouped.select("stream", "pile", "seed_id", "seed", F.transform("ranked", lambda r: r["sequence"]).alias("reads"))
+    votes, seed = ~over & (F.col("rank") <= config.max_n_read - 1), F.col("at") == 1
+    grouped = kept.filter(votes | seed).groupBy("stream", "pile").agg(
+        F.max(F.when(seed, F.col("read_id"))).alias("seed_id"), F.max(F.when(seed, F.col("sequence"))).alias("seed"),
+        F.sort_array(F.collect_list(F.when(votes, F.struct("rank", "sequence")))).alias("ranked"),
+    )
+    return grouped.filter(F.size("ranked") > 0).select("stream", "pile", "seed_id", "seed", F.transform("ranked", lambda r: r["sequence"]).alias("reads"))
 
 
 def pile_consensuses(accepted: DataFrame, config: ConsensusConfig = ConsensusConfig(), trim: bool = False) -> DataFrame:

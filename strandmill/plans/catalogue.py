@@ -174,6 +174,61 @@ def q_degree(spark, sf_dir):
     return graph.degrees(roles.edges(spark, sf_dir))
 
 
+# A sparse graph in which branches part and meet again.
+_SPARSE = "SELECT o_orderkey AS a, o_orderkey + 1 + o_custkey % 3 AS b FROM orders UNION SELECT o_orderkey, o_orderkey + 2 + o_custkey % 5 FROM orders WHERE o_custkey % 2 = 0"
+SPARSE_SQL = f"edge AS (SELECT cast(a as string) || ':E' AS v, cast(b as string) || ':E' AS w FROM ({_SPARSE}) x)"
+
+
+def _sparse_edges(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    key, near = F.col("o_orderkey"), F.col("o_custkey")
+    steps = orders.select(key.alias("a"), (key + 1 + near % 3).alias("b")).unionByName(orders.filter(near % 2 == 0).select(key.alias("a"), (key + 2 + near % 5).alias("b"))).distinct()
+    edges = steps.select(F.concat(F.col("a").cast("string"), F.lit(":E")).alias("v"), F.concat(F.col("b").cast("string"), F.lit(":E")).alias("w"))
+    return settle(edges), edges.limit(0)
+
+
+@query(f"""WITH {SPARSE_SQL}, {DEGREE_SQL}, simple AS (SELECT node FROM deg WHERE out_degree = 1 AND in_degree = 1),
+ahead AS (SELECT e.v, f.w FROM edge e JOIN edge f ON f.v = e.v AND f.w <> e.w JOIN deg d ON d.node = f.w AND d.in_degree > 1
+  WHERE e.w IN (SELECT node FROM simple) AND f.w NOT IN (SELECT node FROM simple) AND NOT EXISTS (SELECT 1 FROM edge g JOIN edge h ON h.w = g.w WHERE g.v = e.w AND h.v = f.w)),
+behind AS (SELECT f.v, e.w FROM edge e JOIN edge f ON f.w = e.w AND f.v <> e.v JOIN deg d ON d.node = f.v AND d.out_degree > 1
+  WHERE e.v IN (SELECT node FROM simple) AND f.v NOT IN (SELECT node FROM simple) AND NOT EXISTS (SELECT 1 FROM edge g JOIN edge h ON h.v = g.v WHERE g.w = e.v AND h.w = f.v))
+SELECT v, w FROM ahead UNION SELECT v, w FROM behind""")
+def q_repeat_edges(spark, sf_dir):
+    return graph.repeat_edges(*_sparse_edges(spark, sf_dir))
+
+
+def _reached_sql(depth: int) -> str:
+    """Nodes that a side's node x reaches within ``depth`` edges without passing n."""
+    steps = ["r0 AS (SELECT DISTINCT n, x, x AS node FROM sides)"]
+    steps += [f"r{i} AS (SELECT n, x, node FROM r{i - 1} UNION SELECT r.n, r.x, e.w FROM r{i - 1} r JOIN edge e ON e.v = r.node WHERE e.w <> r.n)" for i in range(1, depth + 1)]
+    return ", ".join(steps)
+
+
+@query(f"""WITH {SPARSE_SQL}, {DEGREE_SQL},
+cand AS (SELECT w AS n FROM edge WHERE v IN (SELECT node FROM deg WHERE out_degree >= 2) INTERSECT SELECT v FROM edge WHERE w IN (SELECT node FROM deg WHERE in_degree >= 2)),
+sides AS (SELECT c.n, e.w AS x, 1 AS side FROM cand c JOIN edge e ON e.v = c.n UNION SELECT c.n, f.w, 2 FROM cand c JOIN edge b ON b.w = c.n JOIN edge f ON f.v = b.v WHERE f.w <> c.n),
+{_reached_sql(4)}, met AS (SELECT s.n FROM sides s JOIN r4 r ON r.n = s.n AND r.x = s.x GROUP BY s.n, r.node HAVING count(DISTINCT s.side) > 1),
+chimer AS (SELECT n FROM cand WHERE n NOT IN (SELECT n FROM met)) SELECT n AS node FROM chimer UNION SELECT {_flip('n')} FROM chimer""")
+def q_chimeric_nodes(spark, sf_dir):
+    return graph.chimeric_nodes(*_sparse_edges(spark, sf_dir))
+
+
+@query(f"""WITH {SPARSE_SQL}, member AS (SELECT o_orderkey // 3 AS g, o_orderkey AS k, cast(o_orderkey as string) || ':E' AS node FROM orders),
+utg AS (SELECT g, cast(min(k) as string) || ':E~NA~' || cast(max(k) as string) || ':E' AS name FROM member GROUP BY g),
+place AS (SELECT g, name, cast(g // 8 as string) AS ctg, row_number() OVER (PARTITION BY g // 8 ORDER BY g) AS nth, count(*) OVER (PARTITION BY g // 8) AS n FROM utg),
+link AS (SELECT a.g AS g1, b.g AS g2, count(*) AS links FROM edge JOIN member a ON a.node = v JOIN member b ON b.node = w WHERE a.g <> b.g GROUP BY a.g, b.g)
+SELECT a.ctg AS ctg1, b.ctg AS ctg2, a.name AS utg1, b.name AS utg2, links FROM link JOIN place a ON a.g = g1 JOIN place b ON b.g = g2 WHERE a.nth > a.n - 5 AND b.nth <= 5 AND a.ctg <> b.ctg""")
+def q_boundary_links(spark, sf_dir):
+    edges, _ = _sparse_edges(spark, sf_dir)
+    keyed = table(spark, sf_dir, "orders").select(S.floor_div(F.col("o_orderkey"), F.lit(3)).alias("g"), F.col("o_orderkey").alias("k"))
+    nodes = F.transform(F.array_sort(F.collect_list("k")), lambda k: F.concat(k.cast("string"), F.lit(":E")))
+    unitigs = keyed.groupBy("g").agg(nodes.alias("path")).select("g", F.element_at("path", 1).alias("s"), F.lit("NA").alias("v"), F.element_at("path", -1).alias("t"), F.lit("simple").alias("type"), "path")
+    named = unitigs.select("g", F.concat_ws("~", "s", "v", "t").alias("utg"))
+    listed = F.transform(F.array_sort(F.collect_list(F.struct("g", "utg"))), lambda x: x["utg"])
+    contigs = named.groupBy(S.floor_div(F.col("g"), F.lit(8)).cast("string").alias("ctg_id")).agg(F.array_join(listed, "|").alias("utgs"))
+    return assembly.boundary_links(contigs, unitigs.drop("g"), edges)
+
+
 UNITIG_SQL = (
     "utg AS (SELECT 'n' || cast(o_custkey as string) || ':B' AS s, 'n' || cast(o_custkey * 7 % 1009 as string) || ':E' AS t, "
     "lpad(cast(o_orderkey as string), 9, '0') || ':B' AS v, cast(floor(o_totalprice) as bigint) AS length, cast(o_orderkey % 5 as int) + 2 AS n_nodes FROM orders)"
@@ -496,6 +551,29 @@ def q_revcomp(spark, sf_dir):
     return roles.bases(spark, sf_dir).select("id", S.reverse_complement(F.col("sequence")).alias("rc"))
 
 
+@query(f"WITH {BASES_SQL} SELECT id, translate(sequence, 'ACGT', 'TGCA') AS other FROM seq")
+def q_complement(spark, sf_dir):
+    return roles.bases(spark, sf_dir).select("id", S.complement(F.col("sequence")).alias("other"))
+
+
+@query("""SELECT p_partkey AS id, split_part(p_name, ' ', 1) AS head, CASE WHEN p_name LIKE '% %' THEN substr(p_name, strpos(p_name, ' ') + 1) END AS metadata,
+cast(p_partkey * 1000 + p_size as bigint) AS number, lpad(cast(p_partkey as string), 9, '0') AS read_id, lpad(cast(p_partkey as string), 6, '0') || 'R' AS contig,
+lpad(cast(p_partkey as string), 6, '0') || 'F-' || lpad(cast(p_size as string), 3, '0') || '-07' AS alternative, lpad(cast(p_partkey as string), 6, '0') || 'F' AS parent,
+'NA~' || cast(p_size as string) || ':B~' || cast(p_partkey as string) || ':E' AS turned, cast(p_size as string) || ':E' AS second_v,
+'a:B~NA~b:E|' || cast(p_partkey as string) || ':B~' || cast(p_size as string) || ':E~NA' AS edges FROM part""")
+def q_notations(spark, sf_dir):
+    key, size = F.col("p_partkey"), F.col("p_size")
+    path = F.concat(key.cast("string"), F.lit(":B~"), size.cast("string"), F.lit(":E~NA"))
+    edges = S.decode_edges(F.concat(F.lit("a:B~NA~b:E|"), path))
+    other = S.alternative_name(S.contig_name(key), size, F.lit(7))
+    return table(spark, sf_dir, "part").select(
+        key.alias("id"), S.header_id(F.col("p_name")).alias("head"), S.header_metadata(F.col("p_name")).alias("metadata"),
+        S.int_with_commas(F.concat(key.cast("string"), F.lit(","), F.lpad(size.cast("string"), 3, "0"))).alias("number"),
+        S.read_name(key).alias("read_id"), S.contig_name(key, "R").alias("contig"), other.alias("alternative"), S.parent_contig(other).alias("parent"),
+        S.encode_path(S.reverse_path(S.decode_path(path))).alias("turned"), edges[1]["v"].alias("second_v"), S.encode_edges(edges).alias("edges"),
+    )
+
+
 @query("""SELECT doc_id AS id, unnest(regexp_extract_all(upper(coalesce(text, '')), '[ACGT]+')) AS region FROM documents""")
 def q_regions(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
