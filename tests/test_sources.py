@@ -272,3 +272,13 @@ def test_command_line(spark, tmp_path, capsys):
     ovl = write(tmp_path / "o.ovl", OVL)
     assert cli.main(["filter", ovl, str(tmp_path / "kept"), "--min-cov", "0", "--min-len", "1"]) == 0
     assert [x.split()[0] for x in lines(tmp_path / "kept")][:1] == ["000000001"] and lines(tmp_path / "kept")[1:] == ["---"]
+
+
+def test_a_short_seed_stays_the_seed_and_long_reads_are_cut(spark):
+    ddl = "stream string, pile long, ord long, read_id string, sequence string"
+    rows = [("s", 0, 0, "seed", "ACGT"), ("s", 0, 1, "a", "A" * 8), ("s", 0, 2, "b", "C" * (consensus.MAX_READ + 5)), ("s", 0, 3, "a", "G" * 9)]
+    few = consensus.ConsensusConfig(max_n_read=3, min_n_read=2, min_cov_aln=1)
+    (found,) = consensus.piles(spark.createDataFrame(rows, ddl), few).collect()
+    assert (found.seed_id, found.seed) == ("seed", "ACGT") and found.reads == ["C" * (consensus.MAX_READ - 1), "A" * 8]
+    none = consensus.ConsensusConfig(max_n_read=1, min_n_read=2, min_cov_aln=1)
+    assert consensus.piles(spark.createDataFrame(rows, ddl), none).count() == 0

@@ -180,3 +180,9 @@ def test_text_helpers(spark):
     assert one(spark, S.encode_path(S.reverse_path(S.decode_path(F.col("s")))), s="1:B~2:E") == "2:B~1:E"
     assert one(spark, S.alternative_name(F.col("s"), F.lit(1), F.lit(2)), s="000000F") == "000000F-001-02"
     assert one(spark, S.read_name(F.col("n")), n=7) == "000000007"
+
+
+def test_statistics_of_very_many_bases(spark):
+    rows = spark.createDataFrame([(100_000, 10**12), (50_000, 10**12)], "rl long, count long")
+    found = stats.read_stats(rows).first()
+    assert (found.total, found.n50) == (15 * 10**16, 100_000) and found.esize == pytest.approx(12_500 / 15 * 100)
