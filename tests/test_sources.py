@@ -147,21 +147,26 @@ def test_gfa_text(spark, tmp_path):
 
 
 @pytest.mark.parametrize(
-    "column,value", [("name", ""), ("v", ""), ("w", ""), ("v_orient", "x"), ("w_orient", "x"), ("v_start", -1), ("w_start", -1), ("v_end", 2), ("w_start", 9), ("cigar", "")]
-)
-def test_bad_edges_raise(spark, column, value):
-    with pytest.raises(Exception, match="should|specified"):
+    "column,value,message",
+    [
+        ("name", "", "name is empty"), ("v", "", "v is empty"), ("w", "", "w is empty"), ("v_orient", "x", "v_orient is neither"), ("w_orient", "x", "w_orient is neither"),
+        ("v_start", -1, "v_start is negative"), ("w_start", -1, "w_start is negative"), ("v_end", 2, "v_start lies behind v_end"), ("w_start", 9, "w_start lies behind w_end"),
+        ("cigar", "", "cigar is empty"),
+    ],
+)
+def test_bad_edges_raise(spark, column, value, message):
+    with pytest.raises(Exception, match=message):
         gfa.checked_edges(small_graph(spark).edges.withColumn(column, F.lit(value))).collect()
 
 
 def test_bad_nodes_and_paths_raise(spark):
     graph = small_graph(spark)
-    for column, value in (("name", ""), ("len", -1), ("seq", "")):
-        with pytest.raises(Exception, match="Node"):
+    for column, value, message in (("name", "", "name is empty"), ("len", -1, "len is negative"), ("seq", "", "seq is empty")):
+        with pytest.raises(Exception, match=message):
             gfa.checked_nodes(graph.nodes.withColumn(column, F.lit(value))).collect()
-    with pytest.raises(Exception, match="same length"):
+    with pytest.raises(Exception, match="one CIGAR for each node"):
         gfa.checked_paths(graph.paths.withColumn("nodes", F.array(F.lit("x")))).collect()
-    with pytest.raises(Exception, match="non-empty list"):
+    with pytest.raises(Exception, match="one node at least"):
         gfa.checked_paths(graph.paths.withColumn("nodes", F.array().cast("array<string>"))).collect()
 
 
