@@ -10,14 +10,18 @@ from __future__ import annotations
 import functools
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from strandmill.functions.sequences import flip_end, reverse_path
+from strandmill.operators import nodelists
 from strandmill.operators.overlaps import first_per_pair
-from strandmill.session import object_frame, settle, ship_package
+from strandmill.session import object_frame, release, settle, spill
 
 # Fixed value: overhangs closer than this count as equal in transitive reduction.
 FUZZ = 500
@@ -57,9 +61,10 @@ def overlap_edges(rows: DataFrame, order: list[Column]) -> DataFrame:
 
 
 def with_duals(marks: DataFrame) -> DataFrame:
-    """Marks and the marks of the dual edges."""
-    duals = marks.select(flip_end(F.col("w")).alias("v"), flip_end(F.col("v")).alias("w"))
-    return marks.select("v", "w").unionByName(duals).distinct()
+    """Marks and the marks of the dual edges. An edge and its dual meet as the smaller of them, so each mark is shuffled once."""
+    edge, dual = F.struct("v", "w"), F.struct(flip_end(F.col("w")).alias("v"), flip_end(F.col("v")).alias("w"))
+    pairs = marks.select(F.when(edge <= dual, edge).otherwise(dual).alias("e")).select("e.v", "e.w").distinct()
+    return pairs.select(F.explode(F.array_distinct(F.array(edge, dual))).alias("e")).select("e.v", "e.w")
 
 
 def unmarked(edges: DataFrame, marks: DataFrame) -> DataFrame:
@@ -81,48 +86,64 @@ def two_hop_reduction(edges: DataFrame, fuzz: int = FUZZ) -> DataFrame:
     return marks.select("v", F.col("x").alias("w")).distinct()
 
 
-def _reduce_node(out: list[tuple[str, int]], second: dict[str, list[tuple[str, int]]], fuzz: int) -> list[str]:
-    """Targets of one node that its other targets make redundant. Both lists are in order of (length, name)."""
-    state = dict.fromkeys((w for w, _ in out), True)
-    most = out[-1][1] + fuzz
-    for w, length in out:
-        if state[w]:
-            for x, length2 in second.get(w, ()):
-                if length + length2 >= most:
-                    break
-                if x in state:
-                    state[x] = False
-    for w, _ in out:
-        for i, (x, length2) in enumerate(second.get(w, ())):
-            if i and length2 >= fuzz:
-                break
-            if x in state:
-                state[x] = False
-    return [w for w, alive in state.items() if not alive]
+def _redundant(own: np.ndarray, lengths: np.ndarray, lists: dict[bytes, tuple[bytes, bytes]], fuzz: int) -> np.ndarray:
+    """Targets of one node that its other targets make redundant. own: the targets, in order of name and length; lists: packed targets of others."""
+    names = nodelists.keys(own)
+    fresh = np.concatenate([[True], names[1:] != names[:-1]])
+    targets, nth = own[fresh], np.cumsum(fresh) - 1
+    alive, most = np.ones(len(targets), bool), int(lengths.max()) + fuzz
+    ahead = [(k, lists[w]) for k, w in enumerate(names[fresh].tolist()) if w in lists]
+    hits: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+    gone = []
+    while ahead:  # the targets' own targets, as many at once as fit
+        part, size = [], 0
+        while ahead and size < nodelists.CHUNK:
+            k, (packed, numbers) = ahead.pop()
+            part.append((k, nodelists.unpack(packed), nodelists.unpack_numbers(numbers)))
+            size += len(part[-1][2])
+        both = nodelists.joined([targets, *(x for _, x, _ in part)])
+        at = nodelists.binary(both[len(targets) :])
+        at = pc.fill_null(pc.index_in(at, value_set=nodelists.binary(both[: len(targets)])), -1).to_numpy(zero_copy_only=False)
+        begin = 0
+        for k, _, second in part:
+            x = at[begin : begin + len(second)]
+            begin += len(second)
+            mine = x >= 0
+            near = mine & (second < fuzz)
+            first = int(second.argmin())  # of the shortest the first by name
+            near[first] = mine[first]
+            gone.append(x[near])
+            hits[k] = x[mine], second[mine]
+    for row in np.argsort(lengths, kind="stable").tolist():
+        k = int(nth[row])
+        if k in hits and alive[k]:
+            x, second = hits[k]
+            alive[x[second < most - lengths[row]]] = False
+    for x in gone:
+        alive[x] = False
+    return targets[~alive]
 
 
 def transitive_edges(edges: DataFrame, fuzz: int = FUZZ) -> DataFrame:
     """``v, w`` of the redundant edges and their duals.
 
-    Nodes are independent: each gets its own edges and its targets' edges, and folds over them in order of length.
+    Nodes are independent: each folds over its own edges and its targets' edges in order of length. Both come as packed lists, and neighbouring
+    nodes share what they need. edges: ``v, w, length``; those without an end are left out, one without a length raises.
     """
-    ship_package(edges.sparkSession)
-    out = edges.groupBy("v").agg(F.sort_array(F.collect_list(F.struct("length", "w"))).alias("out"))
-    hops = edges.select(F.col("v").alias("n"), F.col("w").alias("via")).join(out, F.col("via") == F.col("v")).select("n", "via", F.col("out").alias("seconds"))
-    seconds = hops.groupBy("n").agg(F.collect_list(F.struct("via", "seconds")).alias("seconds"))
-    nodes = out.join(seconds, F.col("v") == F.col("n"), "left").select("v", "out", "seconds")
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            v_list, w_list = [], []
-            for v, own, more in zip(frame["v"], frame["out"], frame["seconds"], strict=True):
-                second = {s["via"]: [(e["w"], e["length"]) for e in s["seconds"]] for s in (more if more is not None else ())}
-                found = _reduce_node([(e["w"], e["length"]) for e in own], second, fuzz)
-                v_list += [v] * len(found)
-                w_list += found
-            yield object_frame(zip(v_list, w_list, strict=True), ["v", "w"])
-
-    return with_duals(nodes.mapInPandas(run, "v string, w string"))
+    spark = edges.sparkSession
+    lists = nodelists.target_lists(edges)
+    release(spark)
+
+    def run(nodes: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
+        for v, _, names, more, held in nodes:
+            found = _redundant(nodelists.unpack(names), nodelists.unpack_numbers(more), held, fuzz)
+            if len(found):
+                yield pa.RecordBatch.from_pydict({"v": pa.array([v], pa.string()), "names": pa.array([nodelists.pack(found)], pa.binary())})
+
+    nodes = lists.select("block", "v", F.lit(None).cast("string").alias("avoid"), "names", F.col("lengths").alias("more"))
+    marks = spill(nodelists.map_with_lists(nodes, lists, run, "v string, names binary"))
+    release(spark)
+    return with_duals(nodelists.unpacked(marks))
 
 
 def degrees(edges: DataFrame, source: str = "v", sink: str = "w") -> DataFrame:

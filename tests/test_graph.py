@@ -69,6 +69,38 @@ def test_transitive_reduction_against_a_loop(spark, seed):
     assert pairs(graph.two_hop_reduction(df)) <= set(edges)
 
 
+def shuffled(spark):
+    """Bytes that all stages so far have written for shuffles."""
+    sc = spark.sparkContext
+    stages = sc._jsc.sc().statusStore().stageList(None, False, False, sc._gateway.new_array(sc._jvm.double, 0), None)
+    return sum(stages.apply(k).shuffleWriteBytes() for k in range(stages.size()))
+
+
+def layers(*sizes):
+    """Every node of a layer has an edge to every node of each later one."""
+    names = [[f"{k}{n:04d}:E" for n in range(size)] for k, size in enumerate(sizes)]
+    return {(v, w): (10 * (k - j), 1) for j, a in enumerate(names) for k, b in enumerate(names) if j < k for v in a for w in b}
+
+
+def test_reduction_does_not_shuffle_every_way(spark):
+    edges = layers(60, 60, 120)
+    df = frame(spark, edges).localCheckpoint()
+    before = shuffled(spark)
+    found = pairs(graph.transitive_edges(df))
+    assert shuffled(spark) - before < 400_000  # 60 x 60 x 120 ways
+    assert found == loop_transitive(edges)
+
+
+def test_reduction_with_repeated_edges_and_names_of_unequal_length(spark):
+    rows = [("a:E", "bb:E", 5), ("a:E", "bb:E", 700), ("bb:E", "c\u00e9c:E", 600), ("a:E", "c\u00e9c:E", 1100), ("a:E", "d:E", 1300), ("c\u00e9c:E", "d:E", 650), (None, "d:E", 1), ("a:E", None, 1)]
+    df = spark.createDataFrame(rows, "v string, w string, length int")
+    # a -> bb -> c\u00e9c is the first on bb's list, whatever its length; so is c\u00e9c -> d on c\u00e9c's.
+    assert pairs(graph.transitive_edges(df)) == {("a:E", "c\u00e9c:E"), ("c\u00e9c:B", "a:B"), ("a:E", "d:E"), ("d:B", "a:B")}
+    with pytest.raises(Exception, match="no length"):
+        graph.transitive_edges(spark.createDataFrame([("a:E", "b:E", None)], df.schema))
+    assert pairs(graph.transitive_edges(df.limit(0))) == set()
+
+
 def test_fixture_edges_of_all_four_orientations(spark):
     rows = [
         ("a", "b", -90, 99.0, 0, 10, 100, 100, 0, 0, 90, 120, "overlap"),
