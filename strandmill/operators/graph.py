@@ -157,15 +157,45 @@ def degrees(edges: DataFrame, source: str = "v", sink: str = "w") -> DataFrame:
 def neighbourhood(edges: DataFrame, seeds: DataFrame, depth: int) -> DataFrame:
     """``seed, node``: what each seed reaches within ``depth`` edges, itself included; never through ``avoid`` of its seed row.
 
-    seeds: ``seed, avoid`` (``avoid`` may be null).
+    seeds: ``seed, avoid`` (``avoid`` may be null); null seeds and edges without an end are left out. What a seed has reached is a packed list until the last step.
     """
-    hop = edges.select(F.col("v").alias("h_v"), F.col("w").alias("h_w"))
-    reached = front = seeds.select("seed", "avoid", F.col("seed").alias("node")).distinct()
-    for _ in range(depth):
-        step = front.join(hop, F.col("node") == F.col("h_v")).filter(F.col("avoid").isNull() | (F.col("h_w") != F.col("avoid")))
-        front = settle(step.select("seed", "avoid", F.col("h_w").alias("node")).distinct().exceptAll(reached))
-        reached = reached.unionByName(front)
-    return reached
+    spark = edges.sparkSession
+    start = seeds.select("seed", "avoid").filter("seed IS NOT NULL").distinct()
+    if depth < 1:
+        return start.select("seed", "avoid", F.col("seed").alias("node"))
+    lists = nodelists.target_lists(edges.select("v", "w", F.lit(0).alias("length")))
+
+    def begin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = [nodelists.pack(nodelists.matrix(batch.column(0).slice(k, 1))) for k in range(batch.num_rows)]
+            packed = pa.array(own, pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), packed, packed], ["v", "avoid", "names", "more"])
+
+    def step(rows: Iterator[tuple], last: bool) -> Iterator[pa.RecordBatch]:
+        for v, avoid, names, more, held in rows:
+            known = nodelists.unpack(more)
+            near = [nodelists.unpack(held[w][0]) for w in nodelists.keys(nodelists.unpack(names)).tolist() if w in held]
+            every = nodelists.distinct(nodelists.joined([known, *near]))  # what was known stays ahead
+            fresh = every[len(known) :]
+            if avoid is not None:
+                fresh = fresh[nodelists.keys(fresh) != avoid.encode()] if len(fresh) else fresh
+            if last:
+                yield from nodelists.arrays([(v, avoid, known), (v, avoid, fresh)])
+                continue
+            fresh = fresh[np.argsort(nodelists.keys(fresh))] if len(fresh) else fresh
+            told = {"names": nodelists.pack(fresh), "more": nodelists.pack(nodelists.joined([known, fresh]))}
+            yield pa.RecordBatch.from_pydict({"v": pa.array([v], pa.string()), "avoid": pa.array([avoid], pa.string())} | {c: pa.array([x], pa.binary()) for c, x in told.items()})
+
+    packed = "v string, avoid string, names binary, more binary"
+    rows = start.repartitionByRange("seed", "avoid").sortWithinPartitions("seed", "avoid").mapInArrow(begin, packed)
+    for _ in range(depth - 1):
+        rows = spill(rows.select(nodelists.block(), "v", "avoid", "names", "more"))
+        release(spark)
+        rows = nodelists.map_with_lists(rows, lists, lambda x: step(x, False), packed)
+    rows = spill(rows.select(nodelists.block(), "v", "avoid", "names", "more"))
+    release(spark)
+    reached = nodelists.map_with_lists(rows, lists, lambda x: step(x, True), nodelists.ARRAYS)
+    return reached.select(F.col("v").alias("seed"), "avoid", F.explode("nodes").alias("node"))
 
 
 def chimeric_nodes(edges: DataFrame, marks: DataFrame, depth: int = 4) -> DataFrame:

@@ -101,6 +101,37 @@ def test_reduction_with_repeated_edges_and_names_of_unequal_length(spark):
     assert pairs(graph.transitive_edges(df.limit(0))) == set()
 
 
+def loop_neighbourhood(edges, seeds, depth):
+    found = set()
+    for seed, avoid in seeds:
+        reached = front = {seed}
+        for _ in range(depth):
+            front = {w for v, w in edges if v in front and w != avoid} - reached
+            reached = reached | front
+        found |= {(seed, avoid, node) for node in reached}
+    return found
+
+
+@pytest.mark.parametrize("depth", [0, 1, 2, 4])
+def test_neighbourhood_against_a_loop(spark, depth):
+    rng = random.Random(depth)
+    names = [f"{'x' * rng.randint(0, 5)}{n}:{rng.choice('BE')}" for n in range(60)]
+    edges = {(rng.choice(names), rng.choice(names)) for _ in range(110)}
+    seeds = {(rng.choice([*names, "lone:E"]), rng.choice([None, *names])) for _ in range(200)} | {(names[0], names[0])}
+    made = graph.neighbourhood(spark.createDataFrame([*edges, *edges], "v string, w string"), spark.createDataFrame([*seeds], "seed string, avoid string"), depth)
+    rows = [tuple(r) for r in made.select("seed", "avoid", "node").collect()]
+    assert len(rows) == len(set(rows)) and set(rows) == loop_neighbourhood(edges, seeds, depth)
+
+
+def test_neighbourhood_does_not_shuffle_every_way(spark):
+    edges = layers(100, 100, 300)
+    df = frame(spark, edges).select("v", "w").localCheckpoint()
+    before = shuffled(spark)
+    made = graph.neighbourhood(df, df.select(F.col("v").alias("seed"), F.lit(None).cast("string").alias("avoid")).distinct(), 2)
+    assert made.count() == 100 * 401 + 100 * 301
+    assert shuffled(spark) - before < 1_000_000  # 100 x 100 x 300 ways
+
+
 def test_fixture_edges_of_all_four_orientations(spark):
     rows = [
         ("a", "b", -90, 99.0, 0, 10, 100, 100, 0, 0, 90, 120, "overlap"),
