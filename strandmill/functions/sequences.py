@@ -141,14 +141,22 @@ def decode_edges(text: Column) -> Column:
     return F.transform(F.split(text, r"\|"), parse)
 
 
+def _numbered(form: str, *parts: Column) -> Column:
+    """A formatted name, or null where a part is null. Numbers wider than their field stay whole."""
+    known = F.lit(True)
+    for part in parts:
+        known = known & part.isNotNull()
+    return F.when(known, F.format_string(form, *parts))
+
+
 def read_name(number: Column) -> Column:
     """Zero-padded nine-digit read id; padding is part of the id."""
-    return F.format_string("%09d", number.cast("long"))
+    return _numbered("%09d", number.cast("long"))
 
 
 def contig_name(number: Column, strand: str = "F") -> Column:
-    return F.format_string(f"%06d{strand}", number.cast("long"))
+    return _numbered(f"%06d{strand}", number.cast("long"))
 
 
 def alternative_name(contig: Column, bubble: Column, path: Column) -> Column:
-    return F.format_string("%s-%03d-%02d", contig, bubble.cast("long"), path.cast("long"))
+    return _numbered("%s-%03d-%02d", contig, bubble.cast("long"), path.cast("long"))

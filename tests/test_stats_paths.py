@@ -1,6 +1,7 @@
 """Statistics, tiling paths, sequence expressions."""
 
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +10,7 @@ from strandmill import schema
 from strandmill.functions import sequences as S
 from strandmill.operators import paths as P
 from strandmill.operators import stats
+from strandmill.plans import catalogue
 
 
 def histogram(spark, lengths):
@@ -186,3 +188,16 @@ def test_statistics_of_very_many_bases(spark):
     rows = spark.createDataFrame([(100_000, 10**12), (50_000, 10**12)], "rl long, count long")
     found = stats.read_stats(rows).first()
     assert (found.total, found.n50) == (15 * 10**16, 100_000) and found.esize == pytest.approx(12_500 / 15 * 100)
+
+
+def test_notations_agree_with_their_sql_beyond_the_width_of_names(spark, tmp_path):
+    keys = [0, 7, 999_999, 1_000_000, 1_199_999, 999_999_999, 1_234_567_890]
+    import duckdb
+
+    rows = [(k, "blue anvil", n) for k in keys for n in (1, 50, 999, 1000)] + [(None, "x", 1), (5, None, None), (6, "one", 3)]
+    spark.createDataFrame(rows, "p_partkey long, p_name string, p_size int").write.parquet(f"{tmp_path}/part.parquet")
+    found = [tuple(r) for r in catalogue.queries()["q_notations"](spark, str(tmp_path)).collect()]
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW part AS SELECT * FROM '{tmp_path}/part.parquet/*.parquet'")
+    assert Counter(found) == Counter(db.execute(catalogue.oracle_sql()["q_notations"]).fetchall())
+    assert one(spark, S.contig_name(F.col("n")), n=1_199_999) == "1199999F"
