@@ -1,7 +1,7 @@
 """Token counts by a two-tier lookup on the map side.
 
-First tier: a compact table of the lengths in tokens of frequent pre-tokens, at most ``TABLE`` of them, broadcast. It is fitted on a
-bounded sample, about ``SAMPLE`` documents: ``TASKS`` tasks each tell their ``SUMMARY`` most frequent pre-tokens. Second tier: each
+First tier: a compact table of the lengths in tokens of frequent pre-tokens, at most ``TABLE`` of them, broadcast. A vocabulary holds what was
+frequent where it was learnt, so its own entries fill the table, in the order in which they were learnt; no text is read for it. Second tier: each
 worker encodes what it misses and remembers it, up to a bound. No pre-token is ever shuffled, and what is in the table has
 no influence on the counts, only on the time.
 
@@ -13,7 +13,6 @@ from __future__ import annotations
 
 import hashlib
 import json
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,13 +22,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandmill.llm.bpe import CACHE, Vocabulary, _rows, ship_vocabulary, vocabulary
-from strandmill.llm.textspans import texts_of
 
-#: Entries of the broadcast table (under 2 MB); documents of the sample that it is fitted on, about; tasks that summarise it, and entries of each summary.
+#: Entries of the broadcast table (under 2 MB).
 TABLE = 1 << 16
-SAMPLE = 1 << 13
-TASKS = 8
-SUMMARY = 1 << 14
 SCHEMA = "doc_id long, n_bytes long, n_tokens long"
 
 
@@ -72,30 +67,19 @@ def _worker_lengths(name: str, shipped: Broadcast, tag: str) -> Lengths:
     return _tiers[tag]
 
 
-def frequent_pieces(docs: DataFrame, name: str, table: int = TABLE, sample: int = SAMPLE) -> list[str]:
-    """The most frequent pre-tokens of a sample of the texts, at most ``table``."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        split = vocabulary(name).split
-        kept: Counter = Counter()
-        for batch in batches:
-            for text in texts_of(batch.column(0)):
-                kept.update(split(text.as_py()))
-                if len(kept) > 16 * SUMMARY:
-                    cut = sorted(kept.values(), reverse=True)[4 * SUMMARY]
-                    kept = Counter({p: n - cut for p, n in kept.items() if n > cut})
-        top = [(p, n) for p, n in kept.most_common(SUMMARY) if len(p) < 64]
-        yield pa.RecordBatch.from_pydict({"piece": pa.array([p for p, _ in top], pa.string()), "n": pa.array([n for _, n in top], pa.int64())})
-
-    n_rows = docs.select(F.lit(1)).count()
-    share = min(1.0, sample / max(n_rows, 1))
-    texts = docs.select(docs["text"].cast("string").alias("text")).sample(share, 42)
-    told = texts.repartition(TASKS).mapInArrow(run, "piece string, n long")
-    merged: Counter = Counter()
-    for piece, n in told.collect():  # TASKS * SUMMARY rows at most
-        merged[piece] += n
-    listed = sorted(merged.items(), key=lambda x: (-x[1], x[0]))[:table]
-    return [p for p, n in listed if n > 1]
+def frequent_pieces(v: Vocabulary, table: int = TABLE) -> list[str]:
+    """The vocabulary's entries that can be pre-tokens, under 64 letters, the first ``table`` of them by id."""
+    found = []
+    for _, raw in sorted(v.token.items()):
+        try:
+            piece = raw.decode()
+        except UnicodeDecodeError:  # part of a letter
+            continue
+        if len(piece) < 64 and piece not in v.special and v.split(piece) == [piece]:
+            found.append(piece)
+        if len(found) == table:
+            break
+    return found
 
 
 def count_tokens(docs: DataFrame, path: str, limit: int = 512) -> DataFrame:
@@ -103,7 +87,7 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 512) -> DataFrame:
     name = ship_vocabulary(docs, path)
     with open(path, encoding="utf-8") as f:
         v = Vocabulary(json.load(f))
-    table = {p: 1 if p in v.special else len(v.encode_piece(p)) for p in frequent_pieces(docs, name)}
+    table = {p: len(v.encode_piece(p)) for p in frequent_pieces(v)}
     compact = pack(table)
     shipped, tag = docs.sparkSession.sparkContext.broadcast(compact), hashlib.sha256(b"".join(compact)).hexdigest()
 

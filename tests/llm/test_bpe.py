@@ -99,6 +99,20 @@ def test_frequent_table_packs(vocabulary):
     assert token_counts.unpack(token_counts.pack(table)) == table
 
 
+def test_table_of_counts_reads_no_text(spark, vocabulary, library, monkeypatch):
+    df, sc = corpus.table(spark, corpus.awkward_texts()), spark.sparkContext
+    sc.setJobGroup("op5-table", "")
+    counted = token_counts.count_tokens(df, PATH)
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    assert list(sc.statusTracker().getJobIdsForGroup("op5-table")) == []
+    found = token_counts.frequent_pieces(vocabulary)
+    assert len(found) > 40_000 and all(len(library.encode(p, add_special_tokens=False).ids) == len(vocabulary.encode_piece(p)) for p in found[::100])
+    assert token_counts.frequent_pieces(vocabulary, 10) == found[:10]
+    rows = sorted(map(tuple, counted.collect()))
+    monkeypatch.setattr(token_counts, "frequent_pieces", lambda v: [])
+    assert sorted(map(tuple, token_counts.count_tokens(df, PATH).collect())) == rows
+
+
 def test_empty_tables(spark):
     assert bpe.round_trip(corpus.empty(spark), PATH).collect() == []
     assert token_counts.count_tokens(corpus.empty(spark), PATH).collect() == []
